@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import repeats
+from feedmill.llm import cleaning, encoding, repeats
 from feedmill.shared import tables
 
 
@@ -13,4 +13,29 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_lines(unified)
 
 
-QUERIES = {"p1_found": p1_found}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return cleaning.surrounding_lines(unified, encoding.train(documents))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return cleaning.garbled_fields(unified, encoding.train(documents)).select("item_no", "field_name")
+
+
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return cleaning.garbled_fields(unified, encoding.train(documents))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return cleaning.misspelt_fields(unified, encoding.train(documents))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (unified,) = tables(spark, sf_dir, "unified")
+    return cleaning.residue_items(unified)
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found}
