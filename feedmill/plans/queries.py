@@ -2,4 +2,20 @@
 
 from __future__ import annotations
 
-QUERIES = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from feedmill.operators import instants
+from feedmill.shared import tables
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, sources = tables(spark, sf_dir, "unified", "sources")
+    return instants.to_normalise(unified, sources)
+
+
+def p5_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (unified,) = tables(spark, sf_dir, "unified")
+    return instants.estimated_zones(unified)
+
+
+QUERIES = {"p5_found": p5_found, "p5_zones": p5_zones}
