@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import cleaning, encoding, repeats
+from feedmill.llm import cleaning, encoding, history, repeats
 from feedmill.shared import tables
 
 
@@ -18,6 +18,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.surrounding_lines(unified, encoding.train(documents))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return history.repeated_articles(unified, encoding.train(documents))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     unified, documents = tables(spark, sf_dir, "unified", "documents")
     return cleaning.garbled_fields(unified, encoding.train(documents)).select("item_no", "field_name")
@@ -38,4 +43,4 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.residue_items(unified)
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found}
