@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import cleaning, encoding, history, repeats
+from feedmill.llm import cleaning, encoding, history, mixture, packing, pieces, repeats, tokens
 from feedmill.shared import tables
 
 
@@ -43,4 +43,42 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.residue_items(unified)
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found}
+def _limits(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+    """The rows of token_limits, a table of fixed size."""
+    (limits,) = tables(spark, sf_dir, "token_limits")
+    return [tuple(r) for r in limits.select("limit_name", "capacity_tokens", "overlap_tokens").orderBy("capacity_tokens", "limit_name").collect()]
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    return packing.packed(tokens.sized(documents), {name: capacity for name, capacity, _ in _limits(spark, sf_dir)})
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are: one row for each capacity."""
+    from pyspark.sql import functions as F
+
+    bins = p8_packed(spark, sf_dir).groupBy("limit_name").agg(F.max("container_no").alias("containers"), F.sum("n_tokens").alias("tokens"))
+    (limits,) = tables(spark, sf_dir, "token_limits")
+    return bins.join(limits, "limit_name").select("limit_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents, targets = tables(spark, sf_dir, "documents", "mix_targets")
+    return mixture.mixture(tokens.sized(documents, keep=("source", "lang")), targets)
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[1]
+
+
+def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    return pieces.split(documents, _limits(spark, sf_dir))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
