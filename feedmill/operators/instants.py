@@ -13,6 +13,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.functions.base import let, number_map
 from feedmill.shared import small_side
 
 HOME_ZONE = "Europe/Moscow"
@@ -63,12 +64,8 @@ FORMATS = (
 _RELATIVE = rf"^({'|'.join(w for x in RELATIVE_DAYS.values() for w in x.split())})(?:{_AT}{_TIME})?$"
 
 
-def _number_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-
-
 def _months() -> Column:
-    return _number_map({name: i for line in MONTHS.strip().split("\n") for i, name in enumerate(line.split(), 1)})
+    return number_map({name: i for line in MONTHS.strip().split("\n") for i, name in enumerate(line.split(), 1)})
 
 
 def tidy(value: Column) -> Column:
@@ -77,12 +74,12 @@ def tidy(value: Column) -> Column:
     return F.regexp_replace(plain, r"^[^\d:]*[^\d:\s][^\d:]*: (?=\S)", "")
 
 
-def _to_utc(local: Column, zone: Column) -> Column:
+def to_utc(local: Column, zone: Column) -> Column:
     """A local time as UTC: the first of two, and in a gap the offset before the change."""
     return F.convert_timezone(zone, F.lit("UTC"), local)
 
 
-def _seconds(utc: Column) -> Column:
+def seconds_of(utc: Column) -> Column:
     return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), utc)
 
 
@@ -91,19 +88,14 @@ def known_zone(zone: Column) -> Column:
     return F.when(zone.isin(sorted(available_timezones())), zone)
 
 
-def let(value: Column, use) -> Column:
-    """``use`` of a value that is worked out once, however often ``use`` refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def parts(value: Column, read_at: Column, zone: Column) -> Column:
     """What a value says, as a struct: ``local`` (time without zone), ``offset`` (seconds from UTC or null), ``moscow``
     (the clock is Moscow's) and ``instant`` (seconds since 1970 for values that count them).
 
     ``read_at`` is the UTC time without zone at which the value was read, ``zone`` the clock that "today" refers to.
     """
-    days = _number_map({w: n for n, x in RELATIVE_DAYS.items() for w in x.split()})
-    fixed = _number_map({k: v * 3600 for k, v in ABBREVIATIONS.items()})
+    days = number_map({w: n for n, x in RELATIVE_DAYS.items() for w in x.split()})
+    fixed = number_map({k: v * 3600 for k, v in ABBREVIATIONS.items()})
 
     def cells(s: Column) -> Column:
         by_format = reduce(lambda rest, x: F.when(s.rlike(x[0]), F.regexp_replace(s, x[0], "|".join(f"${n}" for n in x[1]))).otherwise(rest), reversed(FORMATS), F.lit(None).cast("string"))
@@ -139,9 +131,9 @@ def parts(value: Column, read_at: Column, zone: Column) -> Column:
     return let(tidy(value), lambda s: let(cells(s), lambda cell: from_cells(s, cell)))
 
 
-def _resolved(found: Column, zone: Column) -> Column:
+def resolved(found: Column, zone: Column) -> Column:
     """Seconds since 1970 of what ``parts`` found, on the clock ``zone`` where it names none."""
-    utc = F.when(found["offset"].isNotNull(), _seconds(found["local"]) - found["offset"]).otherwise(_seconds(_to_utc(found["local"], F.when(found["moscow"], F.lit(HOME_ZONE)).otherwise(zone))))
+    utc = F.when(found["offset"].isNotNull(), seconds_of(found["local"]) - found["offset"]).otherwise(seconds_of(to_utc(found["local"], F.when(found["moscow"], F.lit(HOME_ZONE)).otherwise(zone))))
     return F.coalesce(found["instant"], utc)
 
 
@@ -171,7 +163,7 @@ def estimated_zones(df: DataFrame, source: str = "source", value: str = "date_pu
     local = rows.select("_source", "_read", parts(F.col("_value"), _utc(F.col("_read")), F.lit("UTC")).alias("_p")).select("_source", "_read", F.when(F.col("_p.offset").isNull() & ~F.col("_p.moscow"), F.col("_p.local")).alias("_local"))
     local = local.where(F.col("_local").isNotNull() & (F.date_format("_local", "HHmmss") != "000000"))
     tried = local.select("_source", "_read", "_local", F.posexplode(F.array(*map(F.lit, candidates))).alias("_rank", "_zone"))
-    lag = F.col("_read") - _seconds(_to_utc(F.col("_local"), F.col("_zone")))
+    lag = F.col("_read") - seconds_of(to_utc(F.col("_local"), F.col("_zone")))
     score = tried.withColumn("_lag", lag).groupBy("_source", "_rank", "_zone").agg(F.count_if(F.col("_lag") < 0).alias("bad"), F.percentile_approx(F.when(F.col("_lag") >= 0, F.col("_lag")), 0.1, 1000).alias("tight"))
     return score.groupBy("_source").agg(F.min_by("_zone", F.struct("bad", F.coalesce("tight", F.lit(1 << 60)).alias("t"), "_rank")).alias("estimated_zone")).withColumnRenamed("_source", source)
 
@@ -193,7 +185,7 @@ def instants(df: DataFrame, sources: DataFrame, source: str = "source", value: s
     joined = df.withColumn("_name", F.col(source)).join(small_side(zones), "_name", "left")
     clock = F.coalesce(F.col("_zone"), F.lit(HOME_ZONE))
     utc_read = _utc(F.unix_seconds(F.col(read_at).cast("timestamp")))
-    second = let(parts(F.col(value), utc_read, clock), lambda p: _resolved(p, clock))
+    second = let(parts(F.col(value), utc_read, clock), lambda p: resolved(p, clock))
     inside = let(second, lambda x: F.when(F.year(_utc(x)).between(FIRST_YEAR, LAST_YEAR), x))
     return joined.withColumn("utc_second", inside).withColumn("home_time", home_form(F.col("utc_second"))).drop("_name", "_zone")
 
