@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,20 +15,30 @@ from feedmill.llm.encoding import Repairer
 from feedmill.llm.residue import residue_flags
 
 
+#: Rows that are worked on at once.
+ROWS_AT_ONCE = 2000
+
+
 def marked(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """What ``cleaned`` needs of each row: its repeated lines and whether its text can be garbled or misspelt at all."""
-    lines = repeats.with_repeated(df, source, item, text, "_repeated")
-    return lines.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text"), F.coalesce(encoding.suspect(F.col(text)), F.lit(False)).alias("_garbled"), F.coalesce(spelling.suspect(F.col(text)), F.lit(False)).alias("_misspelt"), "_repeated", *keep)
+    """What ``judged`` needs of each row: its text and the identifiers of its source's repeated lines."""
+    lines = repeats.with_repeated_ids(df, source, item, text, "_ids")
+    return lines.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text"), "_ids", *keep)
+
+
+def holds(texts: pa.Array, pattern: str) -> np.ndarray:
+    """Whether each text holds the pattern; null texts don't."""
+    return pc.fill_null(pc.match_substring_regex(texts, pattern), False).to_numpy(zero_copy_only=False)
 
 
-def restored(batch: pa.RecordBatch, repairer: Repairer) -> list[str | None]:
-    """The batch's texts, decoded rightly and in one spelling."""
-    texts = batch.column("text").to_pylist()
-    for i in np.flatnonzero(batch.column("_garbled").to_numpy(zero_copy_only=False)):
-        texts[i] = repairer.restore(texts[i])[0]
-    for i in np.flatnonzero(batch.column("_misspelt").to_numpy(zero_copy_only=False) | batch.column("_garbled").to_numpy(zero_copy_only=False)):
-        texts[i] = spelling.normalise(texts[i])
-    return texts
+def restored(texts: pa.Array, repairer: Repairer) -> list[str | None]:
+    """The texts, decoded rightly and in one spelling."""
+    garbled, misspelt = holds(texts, encoding.SIGNS), holds(texts, spelling.SIGNS)
+    out = texts.to_pylist()
+    for i in np.flatnonzero(garbled):
+        out[i] = repairer.restore(out[i])[0]
+    for i in np.flatnonzero(misspelt | garbled):
+        out[i] = spelling.normalise(out[i])
+    return out
 
 
 def judged(batches: Iterator[pa.RecordBatch], repairer: Repairer) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -35,20 +46,20 @@ def judged(batches: Iterator[pa.RecordBatch], repairer: Repairer) -> Iterator[tu
 
     ``own`` says of each line whether it is the article's; ``repeated`` holds numbers from 1.
     """
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = restored(batch, repairer)
-        residue = residue_flags(pa.array(texts, type=pa.string()))
-        repeated = batch.column("_repeated").to_pylist()
-        rows: list = []
-        for text, bad, lines_out in zip(texts, residue, repeated):
-            if bad or not text or not text.strip():
-                rows.append(None)
-                continue
-            lines = text.split("\n")
-            rows.append((lines, mainbody.own_lines(lines), frozenset(lines_out or ())))
-        yield batch, rows
+    for whole in batches:
+        for k in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(k, ROWS_AT_ONCE)
+            texts = restored(batch.column("text"), repairer)
+            residue = residue_flags(pa.array(texts, type=pa.string()))
+            repeated = repeats.repeated_numbers(batch.column("text"), batch.column("_ids").to_pylist())
+            rows: list = []
+            for text, bad, lines_out in zip(texts, residue, repeated):
+                if bad or not text or not text.strip():
+                    rows.append(None)
+                    continue
+                lines = text.split("\n")
+                rows.append((lines, mainbody.own_lines(lines), lines_out))
+            yield batch, rows
 
 
 def surrounding_lines(df: DataFrame, repairer: Repairer, source: str = "source", item: str = "item_no", text: str = "content_text") -> DataFrame:
@@ -96,13 +107,14 @@ def residue_items(df: DataFrame, repairer: Repairer | None = None, item: str = "
     return rows.mapInArrow(find, "item long").withColumnRenamed("item", item)
 
 
-def garbled_fields(df: DataFrame, repairer: Repairer, fields: tuple[str, ...] = ("title", "content_text"), item: str = "item_no", where=encoding.suspect) -> DataFrame:
+def garbled_fields(df: DataFrame, repairer: Repairer, fields: tuple[str, ...] = ("title", "content_text"), item: str = "item_no", pattern: str = encoding.SIGNS) -> DataFrame:
     """(item, field_name, restored) of the fields of which at least one passage was decoded wrongly."""
     one = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields])
-    rows = df.select(F.col(item).cast("long").alias("item"), F.explode(one).alias("x")).select("item", "x.field_name", "x.text").where(where(F.col("text")))
+    rows = df.select(F.col(item).cast("long").alias("item"), F.explode(one).alias("x")).select("item", "x.field_name", "x.text").where("text is not null")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(holds(batch.column("text"), pattern)))
             out = [(i, f, *repairer.restore(t)) for i, f, t in zip(*(batch.column(c).to_pylist() for c in ("item", "field_name", "text")))]
             out = [(i, f, t) for i, f, t, bad in out if bad]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))], names=["item", "field_name", "restored"])
@@ -113,10 +125,11 @@ def garbled_fields(df: DataFrame, repairer: Repairer, fields: tuple[str, ...] =
 def misspelt_fields(df: DataFrame, repairer: Repairer, fields: tuple[str, ...] = ("title", "content_text"), item: str = "item_no") -> DataFrame:
     """(item, field_name) of the fields that hold a form of problem 6 and no wrong decoding."""
     one = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields])
-    rows = df.select(F.col(item).cast("long").alias("item"), F.explode(one).alias("x")).select("item", "x.field_name", "x.text").where(spelling.suspect(F.col("text")))
+    rows = df.select(F.col(item).cast("long").alias("item"), F.explode(one).alias("x")).select("item", "x.field_name", "x.text").where("text is not null")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(holds(batch.column("text"), spelling.SIGNS)))
             texts = batch.column("text").to_pylist()
             keep = pa.array([spelling.damaged(t) and not repairer.restore(t)[1] for t in texts], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("item", "field_name")], names=["item", "field_name"])

@@ -11,7 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,24 +30,41 @@ _SUFFIX = "src long, " + ", ".join(f"i{k} long" for k in range(DEPTH)) + ", item
 _RUN = "src long, depth int, block long, rows long, i0 long"
 
 
-def line_key(line: Column) -> Column:
-    """The letters of a line in order, whatever their case and whatever stands between them."""
-    return F.regexp_replace(F.replace(F.lower(line), F.lit("ß"), F.lit("ss")), r"[^\p{L}]+", "")
+def line_keys(texts: pa.Array) -> pa.ListArray:
+    """For each text the letters of its lines in order, whatever their case and whatever stands between them.
+
+    Null texts give null. Lines are what lies between line feeds; one without letters gives the empty text.
+    """
+    small = pc.replace_substring(pc.utf8_lower(texts), "ß", "ss")
+    return pc.split_pattern(pc.replace_substring_regex(small, r"[^\pL\n]+", ""), "\n")
 
 
-def line_ids(text: Column) -> Column:
-    """An identifier for each line of a text; null for lines without letters."""
-    return F.transform(F.split(text, "\n", -1), lambda x: F.when(line_key(x) != "", F.xxhash64(line_key(x))))
+def line_ids(keys: pa.Array) -> np.ndarray:
+    """An identifier for each line key; 0 for the empty one."""
+    return np.fromiter((xxhash.xxh64_intdigest(k) | 1 if k else 0 for k in keys.to_pylist()), np.uint64, len(keys)).view(np.int64)
 
 
 def source_id(source: Column) -> Column:
     return F.xxhash64(F.coalesce(source, F.lit("\u0000")))
 
 
+def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each text that have letters: their numbers from 1 and their identifiers."""
+    for batch in batches:
+        keys = line_keys(batch.column("text"))
+        offsets = keys.offsets.to_numpy().astype(np.int64)
+        ids = line_ids(keys.flatten())
+        numbers = np.arange(len(ids)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets)) + 1
+        kept = ids != 0
+        ends = np.concatenate(([0], np.cumsum(kept)))[offsets - offsets[0]].astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[kept].astype(kind))) for x, kind in ((numbers, np.int32), (ids, np.int64))]
+        found = pa.RecordBatch.from_arrays([batch.column("src"), batch.column("item"), *lists], names=["src", "item", "lines", "ids"])
+        yield found.filter(pa.array(np.diff(ends) > 0))
+
+
 def _identified(df: DataFrame, source: str, item: str, text: str) -> DataFrame:
-    ids = df.where(F.col(text).isNotNull()).select(source_id(F.col(source)).alias("src"), F.col(item).cast("long").alias("item"), line_ids(F.col(text)).alias("ids"))
-    ids = ids.select("src", "item", F.filter(F.transform("ids", lambda x, i: F.struct((i + 1).alias("n"), x.alias("id"))), lambda x: x["id"].isNotNull()).alias("s"))
-    return ids.where(F.size("s") > 0).select("src", "item", F.col("s.n").alias("lines"), F.col("s.id").alias("ids"))
+    rows = df.where(F.col(text).isNotNull()).select(source_id(F.col(source)).alias("src"), F.col(item).cast("long").alias("item"), F.col(text).alias("text"))
+    return rows.mapInArrow(_identify, _IDS)
 
 
 def _mix(h: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -136,14 +156,27 @@ def repeated_lines(df: DataFrame, source: str = "source", item: str = "item_no",
     return lines.join(small_side(single), ["src", "id"], "left_semi").select(F.col("item").alias(item), F.col("line_no").cast("long").alias("line_no"))
 
 
-def with_repeated(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", out: str = "repeated") -> DataFrame:
-    """``df`` with the numbers (from 1) of the lines that belong to repeated blocks of its source, as an array."""
+def with_repeated_ids(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", out: str = "repeated_ids") -> DataFrame:
+    """``df`` with the identifiers of the lines that belong to repeated blocks of its source, as an array."""
     blocks, _ = repeated_blocks(df, source, item, text)
     # a source has at most lines-a-row / min_share such lines: the arrays are short, however large the source is
-    frequent = written(blocks.where("depth = 1").groupBy("src").agg(F.collect_set("i0").alias("_ids")), "repeated-ids")
-    joined = df.withColumn("_src", source_id(F.col(source))).join(small_side(frequent.withColumnRenamed("src", "_src"), 20_000), "_src", "left")
-    found = F.filter(F.transform(line_ids(F.col(text)), lambda x, i: F.when(F.array_contains(F.col("_ids"), x), i + 1)), lambda x: x.isNotNull())
-    return joined.withColumn(out, F.when(F.col("_ids").isNotNull() & F.col(text).isNotNull(), found).otherwise(F.array().cast("array<int>"))).drop("_src", "_ids")
+    frequent = written(blocks.where("depth = 1").groupBy("src").agg(F.collect_set("i0").alias(out)), "repeated-ids")
+    return df.withColumn("_src", source_id(F.col(source))).join(small_side(frequent.withColumnRenamed("src", "_src"), 20_000), "_src", "left").drop("_src")
+
+
+def repeated_numbers(texts: pa.Array, ids: list[list[int] | None]) -> list[frozenset[int]]:
+    """For each text the numbers, from 1, of the lines whose identifiers are among its source's repeated ones."""
+    keys = line_keys(texts)
+    offsets = keys.offsets.to_numpy().astype(np.int64)
+    flat = line_ids(keys.flatten())
+    # identifiers of any source first: few lines are left to compare with those of their own
+    some = np.isin(flat, np.unique(np.array([x for row in ids if row for x in row], np.int64)))
+    out: list[frozenset[int]] = [frozenset()] * len(texts)
+    rows = np.searchsorted(offsets - offsets[0], np.flatnonzero(some), side="right") - 1
+    for row, at in zip(rows.tolist(), np.flatnonzero(some).tolist()):
+        if ids[row] and flat[at] in ids[row]:
+            out[row] = out[row] | {at - int(offsets[row] - offsets[0]) + 1}
+    return out
 
 
 def without_repeated(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text") -> DataFrame:
@@ -151,6 +184,11 @@ def without_repeated(df: DataFrame, source: str = "source", item: str = "item_no
 
     A text of which all lines go becomes the empty text; a null text stays null.
     """
-    marked = with_repeated(df, source, item, text, "_repeated")
-    kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_repeated"), i + 1))
-    return marked.withColumn(text, F.when(F.size("_repeated") > 0, F.array_join(kept, "\n")).otherwise(F.col(text))).drop("_repeated")
+    marked = with_repeated_ids(df, source, item, text, "_ids")
+
+    @F.pandas_udf("string")
+    def keep(texts: pd.Series, ids: pd.Series) -> pd.Series:
+        out = repeated_numbers(pa.array(texts, pa.string(), from_pandas=True), [list(x) if x is not None else None for x in ids])
+        return pd.Series([t if not gone else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in gone) for t, gone in zip(texts, out)], dtype=object)
+
+    return marked.withColumn(text, F.when(F.col("_ids").isNotNull() & F.col(text).isNotNull(), keep(F.col(text), F.col("_ids"))).otherwise(F.col(text))).drop("_ids")
