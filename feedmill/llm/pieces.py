@@ -8,6 +8,7 @@ tokenizer sees, so a piece counted by itself has just as many tokens as in its t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,10 @@ LONGEST_WORD = 64
 
 _WORDS = regex.compile(tokens.PATTERN)
 _BREAKS = (
-    (SENTENCE, regex.compile(r"[.!?…][»”\"')\]]*(?=\s)")),
-    (CLAUSE, regex.compile(r"[,;:](?=\s)|\s(?=[–—]\s)")),
-    (LINE, regex.compile(r"\r\n?|[\n \v\f\u0085]")),
-    (PARAGRAPH, regex.compile(r"(?:\r\n?|\n)[^\S\n\r]*(?:\r\n?|\n)\s*| |\n(?=\s*(?:#{1,6} |[-*•] |\d+[.)] ))")),
+    (SENTENCE, re.compile(r"[.!?…][»”\"')\]]*(?=\s)")),
+    (CLAUSE, re.compile(r"[,;:](?=\s)|\s(?=[–—]\s)")),
+    (LINE, re.compile(r"\r\n?|[\n \v\f\u0085]")),
+    (PARAGRAPH, re.compile(r"(?:\r\n?|\n)[^\S\n\r]*(?:\r\n?|\n)\s*| |\n(?=\s*(?:#{1,6} |[-*•] |\d+[.)] ))")),
 )
 
 
@@ -50,16 +51,18 @@ class _Counts(dict):
 def split_words(text: str, counts: _Counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Character and token offsets of the words that the tokenizer sees, ends included, and where a word was cut."""
     words = _WORDS.findall(text)
-    if any(len(w) > LONGEST_WORD for w in words):
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    if len(words) and lengths.max() > LONGEST_WORD:
         cut, parts = [], []
         for w in words:
             for k in range(0, len(w), LONGEST_WORD):
                 parts.append(w[k : k + LONGEST_WORD])
                 cut.append(k > 0)
         words, inside = parts, np.array([*cut, False])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
     else:
         inside = np.zeros(len(words) + 1, bool)
-    chars = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))
+    chars = np.concatenate(([0], np.cumsum(lengths)))
     sizes = np.concatenate(([0], np.cumsum(np.fromiter(map(counts.__getitem__, words), np.int64, len(words)))))
     return chars, sizes, inside
 
@@ -68,8 +71,7 @@ def costs(text: str, chars: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """What a cut before each word costs."""
     out = np.where(inside, INSIDE, WORD)
     for cost, pattern in _BREAKS:
-        ends = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
-        if len(ends):
+        if len(ends := np.array([m.end() for m in pattern.finditer(text)], np.int64)):
             at = np.searchsorted(chars, ends)
             at = at[(at > 0) & (at < len(chars) - 1)]
             out[at] = np.minimum(out[at], cost)
@@ -84,13 +86,14 @@ def cuts(sizes: np.ndarray, cost: np.ndarray, capacity: int, overlap: int) -> li
     total = int(sizes[-1])
     room = capacity - overlap
     n = len(sizes) - 1
-    # boundaries: natural ones, and words where these lie further apart than a third of the room
-    natural = np.flatnonzero(cost[:n] < WORD)
-    natural = natural[natural > 0]
-    gaps = np.concatenate(([0], natural, [n]))
-    wide = np.flatnonzero(np.diff(sizes[gaps]) > room // 3)
-    more = [np.arange(gaps[i] + 1, gaps[i + 1]) for i in wide]
-    at = np.unique(np.concatenate([[0], natural, [n], *more])).astype(np.int64)
+    # boundaries: sentences and better ones; finer ones where these lie further apart than a third of the room. Elsewhere
+    # a finer one can't win: it costs more than evener pieces would save
+    at = np.concatenate(([0], np.flatnonzero(cost[1:n] <= SENTENCE) + 1, [n]))
+    for finer in (CLAUSE, np.inf):
+        wide = np.flatnonzero(np.diff(sizes[at]) > room // 3)
+        if len(wide):
+            more = [k + np.flatnonzero(cost[k : at[i + 1]] <= finer) for i in wide if (k := at[i] + 1) < at[i + 1]]
+            at = np.unique(np.concatenate([at, *more])) if more else at
     tok = sizes[at]
     # where a piece that follows a cut at each boundary begins
     start = np.searchsorted(sizes, tok - overlap, side="right") - 1
@@ -110,8 +113,10 @@ def cuts(sizes: np.ndarray, cost: np.ndarray, capacity: int, overlap: int) -> li
         j = slice(first[i], i)
         if first[i] >= i:
             continue
-        c = best[j] + UNEVEN * ((tok[i] - tok[j] - even) / even) ** 2
-        k = int(np.argmin(c))
+        c = ((tok[i] - even - tok[j]) / even) ** 2
+        c *= UNEVEN
+        c += best[j]
+        k = int(c.argmin())
         best[i] = c[k] + price[i] + PIECE
         back[i] = first[i] + k
     out, i = [], m - 1
