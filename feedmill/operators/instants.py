@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions.base import let, number_map
-from feedmill.shared import small_side
+from feedmill.shared import small_side, unused
 
 HOME_ZONE = "Europe/Moscow"
 FIRST_YEAR, LAST_YEAR = 2000, 2035
@@ -182,12 +182,13 @@ def instants(df: DataFrame, sources: DataFrame, source: str = "source", value: s
     if estimates is not None:
         guessed = estimates.select(F.col(source).alias("_name"), F.col("estimated_zone").alias("_guess"))
         zones = zones.join(guessed, "_name", "full_outer").select("_name", F.coalesce("_zone", "_guess").alias("_zone"))
-    joined = df.withColumn("_name", F.col(source)).join(small_side(zones), "_name", "left")
-    clock = F.coalesce(F.col("_zone"), F.lit(HOME_ZONE))
+    by, clock_name = unused(df, "_name"), unused(df, "_zone")
+    joined = df.withColumn(by, F.col(source)).join(small_side(zones.select(F.col("_name").alias(by), F.col("_zone").alias(clock_name))), by, "left")
+    clock = F.coalesce(F.col(clock_name), F.lit(HOME_ZONE))
     utc_read = _utc(F.unix_seconds(F.col(read_at).cast("timestamp")))
     second = let(parts(F.col(value), utc_read, clock), lambda p: resolved(p, clock))
     inside = let(second, lambda x: F.when(F.year(_utc(x)).between(FIRST_YEAR, LAST_YEAR), x))
-    return joined.withColumn("utc_second", inside).withColumn("home_time", home_form(F.col("utc_second"))).drop("_name", "_zone")
+    return joined.withColumn("utc_second", inside).withColumn("home_time", home_form(F.col("utc_second"))).drop(by, clock_name)
 
 
 def to_normalise(df: DataFrame, sources: DataFrame, item: str = "item_no", value: str = "date_published") -> DataFrame:

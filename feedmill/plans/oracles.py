@@ -184,6 +184,8 @@ WITH {_ONCE} SELECT log_no, host, CASE WHEN status < 400 THEN 'http_success'
   WHEN status IS NOT NULL THEN 'http_error' ELSE 'failed' END AS outcome, coalesce(contains(lower(error), 'network is unreachable'), false) AS unreachable FROM once WHERE phase = 'warmup'""",
     "backoff_waits": "SELECT log_no, 1.5 * pow(2.0, attempt - 1) AS wait_s FROM fetch_attempts",
     "cookie_names": "SELECT DISTINCT host, unnest(cookie_names) AS name FROM fetch_attempts",
+    "stream_new_addresses": "SELECT DISTINCT source, url FROM unified",
+    "stream_first_seen": "SELECT id, epoch_us(min(fetched_at)) // 1000000 AS first_seen FROM unified WHERE id IS NOT NULL GROUP BY id",
     "flagship": f"""
 WITH {listed('item_no, id, title, date_published, content_text, source', 'unified')},
 f AS (SELECT id AS fid, min(first_seen) AS seen FROM first_seen GROUP BY id),

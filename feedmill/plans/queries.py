@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from feedmill.functions import dates, html, text, urls
 from feedmill.operators import feed, fetchlog, instants, links, merge, metrics, state
-from feedmill.sources import api, catalog, feed_io
 from feedmill.shared import tables
+from feedmill.sources import api, catalog, feed_io
+from feedmill.streaming import incremental
 
 #: The clock of all queries.
 NOW = "2025-07-01 12:00:00"
@@ -322,10 +323,24 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.run(spark, d)
 
 
+def stream_new_addresses(spark, d):
+    return incremental.finished(incremental.new_addresses(incremental.landed(spark, f"{d}/unified.parquet").select("source", "url"))).select("source", "url")
+
+
+def stream_first_seen(spark, d):
+    found = incremental.first_sightings(incremental.landed(spark, f"{d}/unified.parquet").select("id", "fetched_at"))
+    return incremental.finished(found, "complete").select("id", F.unix_seconds("first_seen").alias("first_seen"))
+
+
+def stream_feed(spark, d):
+    items = incremental.landed(spark, f"{d}/unified.parquet").withColumn("ord", F.col("item_no"))
+    return incremental.feed_of(items, incremental.FeedTable(spark, first_seen(spark, d))).select("url", "title", "date_published", "source")
+
+
 _NAMES = """
 p5_found p5_zones url_parts url_segments query_pairs url_listing_rule url_listing_filter cache_key amp_url url_joined normalize_ws word_count min_words_filter drop_leading_title needs_fallback dates_read ru_date_dotted
 ru_date_words url_date home_time page_title page_content fragment_text page_links link_reasons article_links new_links seen_window missing_sources request_strategies first_seen_fill first_seen_after index_changed
 cooldown_routes pages_served feed_dedup feed_built feed_skip_keywords feed_merged feed_top feed_metrics regression_gate source_summary api_entries api_links json_feed_roundtrip attempts_once retry_outcomes
-last_metric_per_host consecutive_failures failure_islands warmup_outcomes backoff_waits cookie_names flagship
+last_metric_per_host consecutive_failures failure_islands warmup_outcomes backoff_waits cookie_names stream_new_addresses stream_first_seen stream_feed flagship
 """
 QUERIES = {name: globals()[name] for name in _NAMES.split()}
