@@ -12,7 +12,10 @@ import html as html_module
 import re
 
 import ahocorasick
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from feedmill.functions.html import Page, title_of
 from feedmill.llm.spelling import normalise
 
 #: Lines a window spans, and the characters of article text in it from which a body begins or ends.
@@ -24,13 +27,13 @@ PROSE, LIST, SHORT, NOISE, BLANK, HEAD = range(6)
 MENU = """
 главная|новости|статьи|стройка|нормативы|цены|цены и индексы|тендеры|интервью|фотогалерея|галерея|видео|фото|о редакции|о нас|о проекте|о компании|контакты|вакансии|архив|архив номеров|подписка|реклама|рекламодателям|мнения|аналитика|обзоры|события|календарь|справочник|форум|блоги|спецпроекты|рубрики|темы|карта сайта|поиск|войти|регистрация|rss|обратная связь|правила|лента|авторы|журнал|документы
 home|news|articles|prices|tenders|interviews|interview|gallery|photos|video|about|about us|contact|contacts|contact us|archive|subscribe|subscription|jobs|careers|codes|standards|building|construction|opinion|analysis|events|calendar|directory|forum|blog|topics|sections|search|login|log in|sign in|register|rss|authors|magazine|documents|site map|sitemap|advertise|terms|privacy|markets|reviews
-start|startseite|nachrichten|artikel|bau|baustellen|normen|preise|ausschreibungen|interviews|galerie|bilder|fotos|videos|über uns|kontakt|archiv|abo|abonnement|stellen|karriere|meinung|analyse|termine|themen|suche|anmelden|registrieren|impressum|datenschutz|anzeigen|agb|zeitschrift
+start|startseite|vergaben|nachrichten|artikel|bau|baustellen|normen|preise|ausschreibungen|interviews|galerie|bilder|fotos|videos|über uns|kontakt|archiv|abo|abonnement|stellen|karriere|meinung|analyse|termine|themen|suche|anmelden|registrieren|impressum|datenschutz|anzeigen|agb|zeitschrift
 галоўная|навіны|артыкулы|будоўля|нормы|цэны|тэндары|інтэрв'ю|інтэрв’ю|фотагалерэя|пра рэдакцыю|пра нас|кантакты|вакансіі|архіў|падпіска|рэклама|карта сайта|зваротная сувязь|пошук
 """
 #: Headings above links to other articles.
 RELATED = """
 самое читаемое|ещё по теме|популярное за неделю|популярное|сейчас обсуждают|выбор редакции|лента дня|похожие материалы|читайте также|читайте по теме|материалы по теме|по теме|другие новости|главное за день|рекомендуем|рекомендуемые материалы|последние новости|новости партнёров|ещё новости|вам может быть интересно|самое популярное|самое обсуждаемое|смотрите также|похожие новости
-most read|most viewed|most popular|most discussed|read also|read more|related|related articles|related stories|related news|more on this|more on this topic|more news|more stories|popular|popular this week|trending|trending now|editor picks|editors' picks|editor's picks|latest news|latest|top stories|recommended|recommended for you|you may also like|see also|today's feed|today|being discussed
+most read|read next|up next|most viewed|most popular|most discussed|read also|read more|related|related articles|related stories|related news|more on this|more on this topic|more news|more stories|popular|popular this week|trending|trending now|editor picks|editors' picks|editor's picks|latest news|latest|top stories|recommended|recommended for you|you may also like|see also|today's feed|today|being discussed
 meistgelesen|auch lesenswert|ebenfalls lesenswert|lesen sie auch|mehr zum thema|weitere meldungen|weitere artikel|weitere nachrichten|ähnliche artikel|beliebt|beliebt diese woche|empfehlungen|empfehlung der redaktion|tipp der redaktion|auswahl der redaktion|aktuelle meldungen|meist diskutiert|das könnte sie auch interessieren|siehe auch|heute
 самае чытанае|яшчэ па тэме|чытайце таксама|папулярнае за тыдзень|папулярнае|выбар рэдакцыі|стужка дня|падобныя матэрыялы|зараз абмяркоўваюць|іншыя навіны
 """
@@ -114,13 +117,14 @@ def _kind(line: str) -> int:
     parts = [p for p in (_plain(x) for x in _SEPARATORS.split(line)) if p]
     if parts and sum(p in _menu for p in parts) >= max(1, len(parts) / 2):
         return NOISE
-    if size < 140 and len(words) >= 3 and all(w.lower() in _MENU_WORDS for w in words):
+    if size < 140 and len(words) >= 2 and all(w.lower() in _MENU_WORDS for w in words):
         return NOISE
     if _LIST.search(line) or size < 140 and _ADDRESS.search(line):
         return LIST
     if _END.search(line) and len(words) >= 4 or _INNER_END.search(line):
         return PROSE
-    return PROSE if size > 130 else SHORT
+    # a sentence that was cut off: headings have no clauses
+    return PROSE if size > 130 or size > 45 and ", " in line and not _TIMED.search(line) else SHORT
 
 
 def body(weights: list[int]) -> tuple[int, int]:
@@ -141,7 +145,7 @@ def body(weights: list[int]) -> tuple[int, int]:
 def own_lines(lines: list[str]) -> list[bool]:
     """For each line of a text (in one spelling, decoded rightly) whether it is the article's own. Blank lines are not."""
     kinds = [kind(x) for x in lines]
-    weights = [len(x) if k in (PROSE, LIST) else 0 for x, k in zip(lines, kinds)]
+    weights = [len(x) if k == PROSE else max(SURGE, len(x)) if k == LIST else 0 for x, k in zip(lines, kinds)]
     first, last = body(weights)
     own = [False] * len(lines)
     linked = False  # below a heading of links
@@ -159,9 +163,9 @@ def own_lines(lines: list[str]) -> list[bool]:
                 linked = False
             continue
         words = _WORDS.findall(line)
-        if linked or _TIMED.search(line) or len(words) > 4 or len(line) > 45:
+        if linked or len(words) > 4 or len(line) > 45 or any(map(str.isdigit, line)):
             continue
-        # a subhead: short, without links above it, after the body's first line or right before it
+        # a subhead: short, without figures or links above it, after the body's first line or right before it
         near = next((j for j in range(i + 1, len(lines)) if kinds[j] != BLANK), -1)
         if seen or near == first and first >= 0:
             own[i] = True
@@ -185,13 +189,36 @@ def markup_lines(html: str) -> list[tuple[str, float]]:
     return out
 
 
-def page_body(html: str | None, selected: str | None = None) -> str | None:
-    """The own lines of a page. ``selected`` is the markup of the container that the source's selectors name, if any.
+def page_body(html: str | None, selectors: list[str] | None = None) -> str | None:
+    """The own lines of a page. Where one of the selectors names a container with text, only its lines count.
 
-    A null page gives null; a page without a body gives the empty text.
+    A null page gives null; a page without a body gives the empty text. Lines that are mostly links, and the page's title,
+    are not the article's own.
     """
     if html is None:
         return None
-    lines = [(normalise(t), share) for t, share in markup_lines(selected or html)]
-    texts = [t if share < 0.5 else "" for t, share in lines]
+    lines = [(normalise(t), share) for t, share in markup_lines(html)]
+    page = Page(html)
+    held = next((text for s in selectors or [] if s for i in page.select(s) if len(text := " ".join(page.read(i, " ").split())) >= SURGE), None)
+    squeezed = None if held is None else "".join(normalise(held).split())
+    title = "".join(normalise(title_of(page) or "").split())
+    texts = []
+    for t, share in lines:
+        bare = "".join(t.split())
+        texts.append("" if share >= 0.5 or bare == title or squeezed is not None and bare not in squeezed else t)
     return "\n".join(t for t, keep in zip(texts, own_lines(texts)) if keep)
+
+
+def page_bodies(pages: DataFrame, sources: DataFrame, html: str = "html", source: str = "source", key: str = "page_id") -> DataFrame:
+    """(key, body) of landed pages, with the selectors of their source's catalogue entry (a table of fixed size).
+
+    Pages of unknown sources and sources without selectors are read by line-block distribution alone.
+    """
+    known = sources.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("_name")).agg(F.first("content_selectors", ignorenulls=True).alias("_selectors"))
+    rows = pages.select(F.col(key).alias("_key"), F.col(html).alias("_html"), F.col(source).alias("_name")).join(F.broadcast(known), "_name", "left")
+
+    @F.udf("string", useArrow=True)
+    def read(markup, selectors):
+        return page_body(markup, list(selectors) if selectors is not None else None)
+
+    return rows.select(F.col("_key").alias(key), read("_html", "_selectors").alias("body"))

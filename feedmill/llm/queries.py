@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedmill.llm import cleaning, encoding, history, mixture, packing, pieces, repeats, tokens
+from feedmill.llm import cleaning, encoding, history, mainbody, mixture, packing, pieces, repeats, spelling, tokens
 from feedmill.shared import tables
 
 
@@ -18,6 +19,23 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.surrounding_lines(unified, encoding.train(documents))
 
 
+def p2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, sources = tables(spark, sf_dir, "pages", "sources")
+    return mainbody.page_bodies(pages, sources)
+
+
+def p1_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many blocks of each depth repeat in how many sources."""
+    (unified,) = tables(spark, sf_dir, "unified")
+    blocks, _ = repeats.repeated_blocks(unified)
+    return blocks.groupBy("depth").agg(F.count(F.lit(1)).alias("blocks"), F.countDistinct("src").alias("sources"), F.max("rows").alias("most_rows"))
+
+
+def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (unified,) = tables(spark, sf_dir, "unified")
+    return spelling.normalised(unified.select("item_no", "title", "content_text"), ["title", "content_text"])
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     unified, documents = tables(spark, sf_dir, "unified", "documents")
     return history.repeated_articles(unified, encoding.train(documents))
@@ -56,8 +74,6 @@ def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How full the containers are: one row for each capacity."""
-    from pyspark.sql import functions as F
-
     bins = p8_packed(spark, sf_dir).groupBy("limit_name").agg(F.max("container_no").alias("containers"), F.sum("n_tokens").alias("tokens"))
     (limits,) = tables(spark, sf_dir, "token_limits")
     return bins.join(limits, "limit_name").select("limit_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"))
@@ -81,4 +97,4 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.split(documents, _limits(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_blocks": p1_blocks, "p2_found": p2_found, "p2_pages": p2_pages, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p6_normalised": p6_normalised, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_pieces": p10_pieces}

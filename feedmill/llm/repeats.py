@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.shared import small_side, written
+from feedmill.shared import small_side, unused, written
 
 #: Lines of a block that suffixes are compared by.
 DEPTH = 4
@@ -156,12 +156,13 @@ def repeated_lines(df: DataFrame, source: str = "source", item: str = "item_no",
     return lines.join(small_side(single), ["src", "id"], "left_semi").select(F.col("item").alias(item), F.col("line_no").cast("long").alias("line_no"))
 
 
-def with_repeated_ids(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", out: str = "repeated_ids") -> DataFrame:
-    """``df`` with the identifiers of the lines that belong to repeated blocks of its source, as an array."""
+def with_repeated_ids(df: DataFrame, out: str, source: str = "source", item: str = "item_no", text: str = "content_text") -> DataFrame:
+    """``df`` with ``out``: the identifiers of the lines that belong to repeated blocks of its source, as an array."""
     blocks, _ = repeated_blocks(df, source, item, text)
+    src = unused(df, "_src")
     # a source has at most lines-a-row / min_share such lines: the arrays are short, however large the source is
-    frequent = written(blocks.where("depth = 1").groupBy("src").agg(F.collect_set("i0").alias(out)), "repeated-ids")
-    return df.withColumn("_src", source_id(F.col(source))).join(small_side(frequent.withColumnRenamed("src", "_src"), 20_000), "_src", "left").drop("_src")
+    frequent = written(blocks.where("depth = 1").groupBy(F.col("src").alias(src)).agg(F.collect_set("i0").alias(out)), "repeated-ids")
+    return df.withColumn(src, source_id(F.col(source))).join(small_side(frequent, 20_000), src, "left").drop(src)
 
 
 def repeated_numbers(texts: pa.Array, ids: list[list[int] | None]) -> list[frozenset[int]]:
@@ -184,11 +185,12 @@ def without_repeated(df: DataFrame, source: str = "source", item: str = "item_no
 
     A text of which all lines go becomes the empty text; a null text stays null.
     """
-    marked = with_repeated_ids(df, source, item, text, "_ids")
+    ids = unused(df, "_ids")
+    marked = with_repeated_ids(df, ids, source, item, text)
 
     @F.pandas_udf("string")
     def keep(texts: pd.Series, ids: pd.Series) -> pd.Series:
         out = repeated_numbers(pa.array(texts, pa.string(), from_pandas=True), [list(x) if x is not None else None for x in ids])
         return pd.Series([t if not gone else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in gone) for t, gone in zip(texts, out)], dtype=object)
 
-    return marked.withColumn(text, F.when(F.col("_ids").isNotNull() & F.col(text).isNotNull(), keep(F.col(text), F.col("_ids"))).otherwise(F.col(text))).drop("_ids")
+    return marked.withColumn(text, F.when(F.col(ids).isNotNull() & F.col(text).isNotNull(), keep(F.col(text), F.col(ids))).otherwise(F.col(text))).drop(ids)

@@ -89,13 +89,17 @@ JVM_MARKS = "\\p{L}[\u0300-\u036f]"
 
 
 def one_script(word: str) -> str:
-    """The word's look-alikes in the script of most of its letters that belong to one script only."""
+    """The word in the script that most of its letters which belong to one script only are of; as it stands if its
+    letters can't all be written in one."""
     counts = [len(p.findall(word)) for p in _OF]
     if sum(map(bool, counts)) < 2:
         return word
     sure = [sum(not all(ord(c) in m for k, m in enumerate(_MAP[s]) if k != s and counts[k]) for c in _OF[s].findall(word)) for s in range(3)]
-    to = max(range(3), key=lambda s: (counts[s] > 0, sure[s], counts[s], s == 0))
-    return "".join(c if not (s := next((k for k, p in enumerate(_OF) if p.match(c)), to)) != to else _MAP[s][to].get(ord(c), c) for c in word)
+    for to in sorted(range(3), key=lambda s: (counts[s] == 0, -sure[s], -counts[s], s)):
+        found = "".join(c if (s := next((k for k, p in enumerate(_OF) if p.match(c)), to)) == to else _MAP[s][to].get(ord(c), c) for c in word)
+        if counts[to] and sum(bool(p.search(found)) for p in _OF) == 1:
+            return found
+    return word
 
 
 def normalise(text: str | None) -> str | None:
@@ -107,8 +111,13 @@ def normalise(text: str | None) -> str | None:
         text = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)
         text = _SPACE.sub(" ", text)
         text = _MARKS.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
-    if _MIXED.search(text):
-        text = _RUN.sub(lambda m: one_script(m[0]) if _MIXED.search(m[0]) else m[0], text)
+    for _ in range(3):  # a letter that changes its script may compose with its mark then, and the other way round
+        if not _MIXED.search(text):
+            break
+        before, text = text, _RUN.sub(lambda m: one_script(m[0]) if _MIXED.search(m[0]) else m[0], text)
+        text = _MARKS.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
+        if text == before:
+            break
     return text
 
 
