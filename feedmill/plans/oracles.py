@@ -56,6 +56,53 @@ flagged AS (SELECT *, coalesce(rule NOT IN ('R1', 'R2'), false) AS listing FROM
 """
 
 
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?(?: ?([ap])m)?"
+_ZONE = r"([a-z]{1,4}|[+-]\d{1,2}(?::?\d{2})?)?"
+#: How dates are written: a pattern, and what a match is rewritten to (year, month, day, hour, minute, second, half, zone).
+_DATES = (
+    (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:[t ]{_TIME} ?{_ZONE}(?:\[[^\]]*\])?)?$", r"\1|\2|\3|\4|\5|\6|\7|\8"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})t(\d{{2}})(\d{{2}})(\d{{2}})(){_ZONE}$", r"\1|\2|\3|\4|\5|\6|\7|\8"),
+    (rf"^(\d{{1,2}})[./](\d{{1,2}})[./](\d{{4}}|\d{{2}})(?:(?:,| в)? {_TIME})?$", r"\3|\2|\1|\4|\5|\6|\7|"),
+    (r"^(\d{1,2}):(\d{2}) (\d{1,2})\.(\d{1,2})\.(\d{4})$", r"\5|\4|\3|\1|\2|||"),
+    (rf"^(?:[a-z]+, )?(\d{{1,2}}) ([a-zа-яё]+) (\d{{4}})(?: года| г\.)?(?:(?:,| в)? {_TIME} ?{_ZONE})?$", r"\3|\2|\1|\4|\5|\6|\7|\8"),
+    (rf"^([a-z]+) (\d{{1,2}}), (\d{{4}}),? {_TIME}$", r"\3|\1|\2|\4|\5|\6|\7|"),
+)
+_DATE_CELLS = "CASE " + " ".join(f"WHEN regexp_matches(s, '{p}') THEN regexp_replace(s, '{p}', '{r}')" for p, r in _DATES) + " END"
+_MONTH = "CASE " + " ".join(f"WHEN starts_with(m, '{a}') THEN {k}" for k, names in enumerate(("янв jan", "фев feb", "мар mar", "апр apr", "мая май may", "июн jun", "июл jul", "авг aug", "сен sep", "окт oct", "ноя nov", "дек dec"), 1) for a in names.split()) + " ELSE try_cast(m AS INT) END"
+_INSTANTS = rf"""
+tidy AS (
+  SELECT item_no, date_published AS raw, fetched_at, coalesce(time_zone, 'Europe/Moscow') AS z,
+    regexp_replace(trim(regexp_replace(lower(date_published), '[\s\x{{a0}}]+', ' ', 'g')), '^опубликовано: ', '') AS s
+  FROM unified LEFT JOIN sources ON name = source WHERE date_published IS NOT NULL
+),
+told AS (
+  SELECT *, CASE WHEN regexp_matches(s, '^(сегодня|today|heute|сёння)') THEN 0 WHEN regexp_matches(s, '^(вчера|yesterday|gestern|учора)') THEN 1 END AS back FROM tidy
+),
+cells AS (
+  SELECT *, string_split(coalesce(CASE WHEN back IS NOT NULL THEN strftime(CAST(timezone(z, fetched_at) AS DATE) - CAST(back AS INT), '%Y|%m|%d|') || regexp_replace(s, '^[^0-9]*(\d{{1,2}}):(\d{{2}})$', '\1|\2|||') END, {_DATE_CELLS}), '|') AS c FROM told
+),
+named AS (SELECT *, c[1] AS y, c[2] AS m, c[3] AS d, nullif(c[4], '') AS h, nullif(c[5], '') AS mi, nullif(c[6], '') AS sec, nullif(c[7], '') AS half, nullif(c[8], '') AS zone FROM cells),
+numbers AS (
+  SELECT *, try_cast(CASE WHEN length(y) = 2 THEN '20' || y ELSE y END AS INT) AS yy, {_MONTH} AS mm,
+    CASE WHEN half IS NULL THEN coalesce(try_cast(h AS INT), 0) ELSE try_cast(h AS INT) % 12 + CASE half WHEN 'p' THEN 12 ELSE 0 END END AS hh FROM named
+),
+clocks AS (
+  SELECT *, try_cast(yy || '-' || mm || '-' || d || ' ' || hh || ':' || coalesce(mi, '00') || ':' || coalesce(sec, '00') AS TIMESTAMP) AS t,
+    CASE WHEN zone = 'msk' THEN 'Europe/Moscow' ELSE z END AS clock,
+    CASE WHEN zone IN ('z', 'utc', 'gmt') THEN 0 WHEN zone = 'cet' THEN 3600 WHEN zone = 'cest' THEN 7200
+      WHEN regexp_matches(zone, '^[+-]') THEN CASE WHEN zone[1] = '-' THEN -1 ELSE 1 END * (CAST(substr(zone, 2, 2) AS INT) * 3600 + coalesce(try_cast(nullif(substr(replace(zone, ':', ''), 4, 2), '') AS INT), 0) * 60) END AS off FROM numbers
+),
+found AS (
+  SELECT *, CASE WHEN regexp_matches(s, '^\d{{9,10}}(\.\d+)?$') THEN CAST(regexp_extract(s, '^\d+') AS BIGINT) WHEN regexp_matches(s, '^\d{{13}}$') THEN CAST(s AS BIGINT) // 1000
+    WHEN off IS NOT NULL THEN CAST(epoch(t) AS BIGINT) - off
+    WHEN timezone(clock, timezone(clock, t)) <> t THEN CAST(epoch(timezone(clock, t - INTERVAL 1 HOUR)) AS BIGINT) + 3600
+    WHEN timezone(clock, timezone(clock, t) - INTERVAL 1 HOUR) = t THEN CAST(epoch(timezone(clock, t)) AS BIGINT) - 3600
+    ELSE CAST(epoch(timezone(clock, t)) AS BIGINT) END AS utc_second FROM clocks
+),
+home AS (
+  SELECT item_no, raw, utc_second, timezone('Europe/Moscow', to_timestamp(utc_second)) AS local, timezone('UTC', to_timestamp(utc_second)) AS utc FROM found WHERE utc_second BETWEEN 946684800 AND 2082758399
+)
+"""
 _HALF = "(SELECT max(batch_no) / 2.0 FROM unified)"
 _RICH = f"coalesce({strip('content_text')} <> '', false)"
 _WORDS = r"coalesce(len(regexp_extract_all(content_text, '[\p{L}\p{N}_]+')), 0)"
@@ -90,6 +137,7 @@ folded AS (
 """
 
 ORACLES: dict[str, str] = {
+    "p5_found": f"WITH {_INSTANTS} SELECT item_no, utc_second FROM home WHERE raw <> strftime(local, '%Y-%m-%dT%H:%M:%S') || '+0' || date_diff('hour', utc, local) || ':00'",
     "url_parts": f"SELECT item_no, {part(1)} AS scheme, {part(2)} AS host, {part(3)} AS path, {part(4)} AS query, {part(5)} AS fragment FROM unified",
     "url_segments": f"SELECT item_no, unnest(list_filter(string_split({part(3)}, '/'), lambda x: x <> '')) AS segment FROM unified",
     "query_pairs": f"SELECT item_no, {_KEY} AS key, {_VALUE} AS value FROM (SELECT item_no, unnest({_PAIRS}) AS x FROM unified)",
