@@ -39,7 +39,7 @@ meistgelesen|auch lesenswert|ebenfalls lesenswert|lesen sie auch|mehr zum thema|
 """
 #: Parts of lines that stand around an article, in small letters. "^" is the line's beginning, marks aside.
 NOISE = """
-cookie|куки |куки.|приватност|персональных данных|обработки данных|обработку данных|технические данные браузера|даёте согласие|datenschutz|einwilligung|приватнасц|персанальных да
+cookie|куки |куки.|приватност|персональных данных|обработки данных|обработку данных|технические данные браузера|даёте согласие|вы соглашаетесь|datenschutz|einwilligung|приватнасц|персанальных да|вы згаджаецеся|апрацоўкай даных|апрацоўку даных|you agree to|you consent|stimmen sie der|erklären sie sich
 все права|права защищены|перепечатк|при цитировании|при копировании|копирование без|активной ссылк|ссылка на источник|указание источника|публичной офертой|справочный характер|мнение автора|мнение авторов|с позицией редакции|all rights reserved|reuse only|for general information|views of the author|not be reproduced|reprint|alle rechte|nachdruck|keine gewähr|перадрук|усе правы|са спасылкай на крыніц
 понравилась статья|понравился материал|понравилась новость|расскажите коллегам|расскажите друзьям|поделиться материалом|поделиться новостью|поделиться с друзьями|поделитесь|^поделиться|оцените публикацию|оцените статью|оцените материал|отправить заметку|сохранить в закладки|в закладки|подпишитесь|подписывайтесь|рассылк|получайте сводку|следите за нами|мы в соцсетях|share this|share with|share on|tell a friend|tell a colleague|forward this|pass it on|send this|like this story|like this article|rate this|subscribe|newsletter|digest every|digest each|follow us|sign up|beitrag gefällt|leiten sie ihn|artikel teilen|beitrag teilen|abonnieren|bewerten sie|weitersagen|падзяліцеся|падпішыцеся|раскажыце калегам|ацаніце
 ^автор:|^авторы:|автор:|^текст:|текст подготовил|редактор выпуска|собственный корреспондент|^фото:|, отдел новостей|^источник:|^reported by|reported by|written by|edited by|staff writer|redaktion bauwesen|, redaktion|^autor:|^autorin:|^text:|^аўтар:|^тэкст:|уласны карэспандэнт|рэдактар выпуску|тэкст падрыхтава
@@ -66,7 +66,7 @@ AUTOMATON = None
 _MARKS = re.compile(r"^[\s>•*—–·#\"-]+")
 _LIST = re.compile(r"^\s*(?:[—–•*·▪◦‣-]\s|\(?\d{1,4}[).]\s|[а-яa-z]\)\s)|;\s*$|^[^|]+(?:\s\|\s[^|]*\d[^|]*)+$|\d[^/]*\s/\s[^/]*\d", re.IGNORECASE)
 _DECOR = re.compile(r"^\s*[>•*—–·#-]+\s+|\s*…\s*$")
-_ADDRESS = re.compile(r"(?:\bг\.|\bул\.|\bпр\.|\bпл\.|\bд\.|\bstraße\b|\bstr\.|\bstreet\b|\broad\b|\blane\b|\bвул\.)\s*[^,]*,?\s*\d*|адрес", re.IGNORECASE)
+_ADDRESS = re.compile(r"(?:\bг\.|\bул\.|\bпр\.|\bпл\.|\bвул\.|\bstr\.)\s*[^\s,]+|\bадрес|^anschrift|^address|straße \d+\b|\b\d+[a-z]? [A-Z]\w+ (?:street|road|lane|avenue)\b", re.IGNORECASE)
 _NO_WORDS = re.compile(r"\W*\d{1,2}\s?\+\W*|[\W\d]*[↑→←↓©][\W\d]*")
 _INNER_END = re.compile(r"[а-яёіўa-zäöüß)»%][.!?] [«„“А-ЯЁІA-ZÄÖÜ]")
 _END = re.compile(r"[.!?:][»”“\"’)]*\s*$")
