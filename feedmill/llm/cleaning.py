@@ -94,7 +94,7 @@ def bodies(df: DataFrame, repairer: Repairer, source: str = "source", item: str
     return marked(df, source, item, text).mapInArrow(keep, "item long, body string").withColumnRenamed("item", item)
 
 
-def residue_items(df: DataFrame, repairer: Repairer | None = None, item: str = "item_no", text: str = "content_text") -> DataFrame:
+def residue_items(df: DataFrame, item: str = "item_no", text: str = "content_text") -> DataFrame:
     """(item) of the rows whose text is template residue, filler, an error page or a script notice."""
     rows = df.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).where(F.col("text").rlike(r"\S"))
 

@@ -51,10 +51,9 @@ PLACEHOLDER = re.compile(
     rf"\{{\{{[\s#/&>^]*{_NAME}(?:\s*\|[^}}\n]*)?\s*\}}\}}|\{{%-?\s*[a-z]+\b[^%\n]*%\}}|<%[=\-#]?\s*{_NAME}[^%\n]*%>|\$\{{\s*{_NAME}\s*\}}|\{{\$\s*{_NAME}\s*\}}"
     rf"|\[\[\s*{_NAME}\s*\]\]|@@\s*{_NAME}\s*@@|(?<![\w%])%{_NAME}%(?![\w%])|(?<![\w#&])#{_NAME}#(?!\w)|<\?(?:php|=)[^?\n]*\?>|\[%\s*{_NAME}\s*%\]|(?<!\w)__[A-Z][A-Z_]*__(?!\w)"
 )
-#: The signs alone, for a filter in the JVM.
+#: The signs alone, for a filter over a whole batch.
 PLACEHOLDER_SIGNS = r"\{\{|\{%|<%|<\?|\$\{|\{\$|\[\[|\[%|@@|%[A-Za-z_]|#[A-Za-z_]|__[A-Z]"
 
-_LETTERS = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _WORD = re.compile(r"[^\W\d_]+")
 _NAMES = re.compile(r"«[^»\n]*»|“[^”\n]*”|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b|\b[0-9a-f]*\d[0-9a-f]*\b")
 _GAP = re.compile(r"[^\w\n/-]+")
@@ -72,7 +71,7 @@ def _automaton() -> ahocorasick.Automaton:
 
 
 def _squeeze(text: str) -> str:
-    """Small letters, ё as written, one space for anything between words."""
+    """Small letters, one space for anything between words."""
     return _GAP.sub(" ", text.replace("\n", " ").lower()).strip(" -/")
 
 

@@ -80,9 +80,9 @@ _MIXED = re.compile(f"[{_CYR}][{_LAT}{_GRK}]|[{_LAT}][{_CYR}{_GRK}]|[{_GRK}][{_C
 _RUN = re.compile(f"[{_CYR}{_LAT}{_GRK}\u00b5]+")
 _OF = [re.compile(f"[{x}]") for x in (_CYR, _LAT, _GRK)]
 
-#: The same tests as one Java pattern each, for filters that stay in the JVM.
-#: Any of them, for whole batches at once.
+#: Any of these forms, for whole batches at once.
 SIGNS = f"[{IGNORABLE}{SPACES}{WIDE}\u0300-\u036f]|{_MIXED.pattern}"
+#: The same tests as Java patterns, for filters that stay in the JVM.
 JVM_SIGNS = f"[{IGNORABLE}{SPACES}{WIDE}]"
 JVM_MIXED = _MIXED.pattern
 JVM_MARKS = "\\p{L}[\u0300-\u036f]"
