@@ -86,9 +86,21 @@ def failing(log: DataFrame) -> DataFrame:
 
 
 def islands(log: DataFrame) -> DataFrame:
-    """(host, log_no, failures): for each request, how many failed in a row up to it."""
-    rows = once(log).where(F.col("phase") == "request")
-    order = Window.partitionBy("host").orderBy("attempted_at", "logged_at", "log_no").rowsBetween(Window.unboundedPreceding, 0)
-    good = F.coalesce(F.col("error").isNull() & (F.col("status") < 400), F.lit(False)).cast("int")
-    grouped = rows.withColumn("_good", good).withColumn("_island", F.sum("_good").over(order))
-    return grouped.withColumn("failures", F.sum(1 - F.col("_good")).over(Window.partitionBy("host", "_island").orderBy("attempted_at", "logged_at", "log_no").rowsBetween(Window.unboundedPreceding, 0))).select("host", "log_no", "failures")
+    """(host, log_no, failures): for each request, how many failed in a row up to it.
+
+    A host's requests are counted hour by hour, and what an hour leaves to the next is carried over the hours' sums: a host
+    may have any share of the log.
+    """
+    rows = once(log).where(F.col("phase") == "request").withColumn("_hour", F.date_trunc("HOUR", "attempted_at"))
+    rows = rows.withColumn("_good", F.coalesce(F.col("error").isNull() & (F.col("status") < 400), F.lit(False)).cast("int"))
+    order = ["attempted_at", "logged_at", "log_no"]
+    upto = (Window.unboundedPreceding, 0)
+    inside = rows.withColumn("_island", F.sum("_good").over(Window.partitionBy("host", "_hour").orderBy(*order).rowsBetween(*upto)))
+    inside = inside.withColumn("_failed", F.sum(1 - F.col("_good")).over(Window.partitionBy("host", "_hour", "_island").orderBy(*order).rowsBetween(*upto)))
+    hours = inside.groupBy("host", "_hour").agg(F.max("_good").alias("good"), F.max_by("_failed", F.struct("_island", *order)).alias("left"))
+    by_hour = Window.partitionBy("host").orderBy("_hour").rowsBetween(*upto)
+    hours = hours.withColumn("_run", F.sum("good").over(by_hour))
+    hours = hours.withColumn("_out", F.sum("left").over(Window.partitionBy("host", "_run").orderBy("_hour").rowsBetween(*upto)))
+    carried = hours.select("host", "_hour", F.coalesce(F.lag("_out").over(Window.partitionBy("host").orderBy("_hour")), F.lit(0)).alias("_in"))
+    joined = inside.join(carried, (inside["host"] == carried["host"]) & inside["_hour"].eqNullSafe(carried["_hour"]), "left").drop(carried["host"])
+    return joined.select("host", "log_no", (F.col("_failed") + F.when(F.col("_island") == 0, F.col("_in")).otherwise(0)).alias("failures"))

@@ -38,12 +38,21 @@ def first_occurrences(links: DataFrame) -> DataFrame:
     return links.groupBy("source", "url").agg(F.min("pos").alias("pos"), F.first("max_links").alias("max_links"))
 
 
-def capped(links: DataFrame, limit: Column) -> DataFrame:
-    """Each source's first links up to a limit, in order of ``pos``. Only so many rows of a source leave a task."""
-    return links.withColumn("_n", F.row_number().over(Window.partitionBy("source").orderBy("pos", "url"))).where(F.col("_n") <= limit).drop("_n")
+def capped(links: DataFrame, limit: Column, most: int) -> DataFrame:
+    """Each source's first links up to a limit, in order of ``pos``.
+
+    No limit is above ``most``: so many rows of a source, at most, leave a task, whatever share of the links it has.
+    """
+    numbered = links.withColumn("_n", F.row_number().over(Window.partitionBy("source").orderBy("pos", "url")))
+    return numbered.where((F.col("_n") <= F.lit(most)) & (F.col("_n") <= limit)).drop("_n")
+
+
+def most_links(sources: DataFrame) -> int:
+    """The largest limit of a catalogue, which is a table of fixed size."""
+    return sources.agg(F.max("max_links")).first()[0] or 0
 
 
 def article_links(links: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, url, pos) of the article addresses on landed index pages: by their source's rules, each once, capped."""
     kept = resolved(links, sources).withColumn("_why", reason()).where(F.col("_why").isNull())
-    return capped(first_occurrences(kept), F.col("max_links")).select("source", "url", "pos")
+    return capped(first_occurrences(kept), F.col("max_links"), most_links(sources)).select("source", "url", "pos")

@@ -214,7 +214,7 @@ WITH {listed('item_no, source, batch_no', 'unified')}, e AS (SELECT *, row_numbe
 f AS (SELECT source, url, min(pos) AS pos FROM e WHERE url <> '' AND NOT listing GROUP BY source, url),
 n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos, url) AS n FROM f)
 SELECT source, url FROM n JOIN sources ON name = source WHERE n <= coalesce(max_links, 100)""",
-    "json_feed_roundtrip": f"WITH {_ONE_EACH} SELECT url, title, date_published, source FROM feed WHERE nullif(date_published, '') IS NOT NULL",
+    "json_feed_roundtrip": f"WITH {_ONE_EACH} SELECT url, title, date_published, source FROM feed WHERE nullif(date_published, '') IS NOT NULL ORDER BY date_published DESC, ord, url LIMIT 2000",
     "attempts_once": f"WITH {_ONCE} SELECT log_no, host, url, phase, attempt FROM once",
     "last_metric_per_host": f"""
 WITH {_ONCE}, r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY attempted_at DESC, logged_at DESC, log_no DESC) AS k FROM once WHERE phase = 'request')

@@ -276,7 +276,7 @@ def api_links(spark, d):
 
 
 def json_feed_roundtrip(spark, d):
-    built = feed.built(unified(spark, d))
+    built = feed.in_order(feed.built(unified(spark, d))).limit(merge.MAX_ITEMS)  # what a feed holds
     entries = feed_io.envelope(built, "feed", "https://home.example/", "https://home.example/feed.json").select(F.posexplode(feed_io.feed_entries(F.col("json"))).alias("ord", "entry"))
     item = F.from_json(F.to_json("entry"), feed_io.ITEM)
     return entries.select(item.alias("i")).select("i.url", "i.title", "i.date_published", "i.source")

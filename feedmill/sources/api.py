@@ -57,7 +57,7 @@ def api_links(payloads: DataFrame, sources: DataFrame) -> DataFrame:
     Entries without address and listing pages are left out; of an address met twice the first entry counts; each source
     gives at most its ``max_links`` first ones. Payloads that are no JSON give none.
     """
-    from feedmill.operators.links import capped
+    from feedmill.operators.links import capped, most_links
 
     rows = payloads.join(F.broadcast(sources.select(F.col("name").alias("source"), "base_url", "max_links")), "source")
     rows = rows.select("source", "base_url", "max_links", F.posexplode(entries(F.col("body"))).alias("pos", "entry"))
@@ -65,4 +65,4 @@ def api_links(payloads: DataFrame, sources: DataFrame) -> DataFrame:
     kept = found.where(F.col("url").isNotNull() & ~is_listing(F.col("url")))
     fields = ["raw_text", "title", "iso_date", "ru_date", "max_links"]
     first = kept.groupBy("source", "url").agg(F.min_by(F.struct(*fields), "pos").alias("x"), F.min("pos").alias("pos"))
-    return capped(first.select("source", "url", "pos", "x.*"), F.col("max_links")).drop("max_links")
+    return capped(first.select("source", "url", "pos", "x.*"), F.col("max_links"), most_links(sources)).drop("max_links")
