@@ -142,11 +142,18 @@ def listing_rule(url: Column) -> Column:
             .when(F.exists(pairs, lambda x: (F.upper(x["key"]) == "VOTE_ID") & x["value"].rlike(r"^\d+$")), "R12")
         )
 
-    path = part(url, 3)
-    bare = F.regexp_replace(path, "/+$", "")
-    bare = F.when(bare == "", "/").otherwise(bare)
-    known = F.struct(bare_host(part(url, 2)).alias("host"), bare.alias("path"), F.lower(bare).alias("lowered"), F.lower(path).alias("raw"), segments(F.lower(path)).alias("segments"), query_pairs(part(url, 4)).alias("pairs"))
-    return F.when(truthy(url).isNotNull(), let(known, rule))
+    def derived(cells: Column) -> Column:
+        """What the rules look at, from host, path and query, which one match of the pattern gives."""
+        host, path, query = (F.get(cells, F.lit(n)) for n in range(3))
+        path = F.regexp_replace(path, r";[^/]*$", "")
+        return let(path, lambda p: let(F.struct(F.regexp_replace(p, "/+$", "").alias("bare"), F.lower(p).alias("raw")), lambda x: let(looked_at(host, x, query), rule)))
+
+    def looked_at(host: Column, x: Column, query: Column) -> Column:
+        bare = F.when(x["bare"] == "", "/").otherwise(x["bare"])
+        return F.struct(bare_host(host).alias("host"), bare.alias("path"), F.lower(bare).alias("lowered"), x["raw"].alias("raw"), segments(x["raw"]).alias("segments"), query_pairs(query).alias("pairs"))
+
+    cells = F.split(F.regexp_replace(url, _URL, "$2\u0001$3\u0001$4"), "\u0001", -1)
+    return F.when(truthy(url).isNotNull(), let(cells, derived))
 
 
 def is_listing(url: Column) -> Column:
