@@ -49,7 +49,7 @@ def outcomes(log: DataFrame, strategies: DataFrame | None = None) -> DataFrame:
 
     An attempt that answers with a status its host retries counts only if it is the last one allowed; the first that counts
     ends the chain. Chains without one are unavailable, or unfinished if attempts are left. ``strategies`` has (host,
-    strategy); a host without one retries nothing and tries three times. Attempts of a chain are few, however large the log.
+    strategy); a host without one retries nothing and tries three times. ``errors`` has the first error of each attempt.
     """
     rows = once(log).where(F.col("phase") == "request")
     limits = strategies.select("host", F.col("strategy.max_attempts").alias("_most"), F.col("strategy.retry_statuses").alias("_again")) if strategies is not None else None
@@ -57,9 +57,12 @@ def outcomes(log: DataFrame, strategies: DataFrame | None = None) -> DataFrame:
     most = F.coalesce("_most", F.lit(ATTEMPTS))
     again = F.coalesce(F.array_contains("_again", F.col("status")), F.lit(False)) & (F.col("attempt") < most)
     answered = F.col("status").isNotNull() & F.col("error").isNull() & ~again
-    ended = F.min_by(F.struct("attempt", "status"), F.when(answered, F.struct("attempt", "attempted_at", "log_no")))
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("attempt", "attempted_at", "log_no", "error")))), lambda x: x["error"]), ", ")
-    found = rows.groupBy("host", "url").agg(ended.alias("e"), F.max("attempt").alias("last"), F.max(most).alias("most"), F.max(answered.cast("int")).alias("ok"), listed.alias("errors"))
+    # attempts are numbered up to a host's limit: an address has few of them, whatever share of the log is its
+    moment = F.struct("attempted_at", "log_no")
+    tries = rows.groupBy("host", "url", "attempt").agg(F.min_by("error", F.when(F.col("error").isNotNull(), moment)).alias("error"), F.min_by("status", F.when(answered, moment)).alias("status"), F.max(answered.cast("int")).alias("ok"), F.max(most).alias("most"))
+    ended = F.min_by(F.struct("attempt", "status"), F.when(F.col("ok") == 1, F.col("attempt")))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("attempt", "error")))), lambda x: x["error"]), ", ")
+    found = tries.groupBy("host", "url").agg(ended.alias("e"), F.max("attempt").alias("last"), F.max("most").alias("most"), F.max("ok").alias("ok"), listed.alias("errors"))
     verdict = F.when(F.col("ok") == 1, F.when(F.col("e.status") < 400, "ok").otherwise("http_error")).when(F.col("last") >= F.col("most"), "unavailable").otherwise("unfinished")
     return found.select("host", "url", F.when(F.col("ok") == 1, F.col("e.attempt")).otherwise(F.col("last")).alias("attempts"), F.when(F.col("ok") == 1, F.col("e.status")).alias("status"), verdict.alias("verdict"), "errors")
 
