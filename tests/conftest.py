@@ -10,8 +10,6 @@ ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
