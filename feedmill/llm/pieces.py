@@ -1,9 +1,9 @@
 """Problem 10: splitting oversized items at natural boundaries.
 
-A text's boundaries are the ends of paragraphs, lines, sentences and clauses, and words where those lie too far apart. A
-dynamic programme over them chooses the cuts of least cost: what a cut at such a boundary costs, plus how far the pieces'
-sizes lie from even ones, under the capacity and with the overlap. Cuts and overlaps lie between the words that the
-tokenizer sees, so a piece counted by itself has just as many tokens as in its text.
+A text's boundaries are the ends of paragraphs, lines, sentences, clauses and words. A dynamic programme over all of
+them chooses the cuts of least cost: what a cut at such a boundary costs, plus how far the pieces' sizes lie from even
+ones, under the capacity and with the overlap. Cuts and overlaps lie between the words that the tokenizer sees, so a
+piece counted by itself has just as many tokens as in its text.
 """
 
 from __future__ import annotations
@@ -78,51 +78,67 @@ def costs(text: str, chars: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return out
 
 
+def _cheapest(tok: list[float], begin: list[float], price: list[float], capacity: int, even: float) -> tuple[float, list[int]]:
+    """Least cost of all ways from the first boundary to the last, and the boundary before each on the cheapest way.
+
+    Of two boundaries to begin a piece from, the later one is the better from some end on and stays so: the cost of
+    unevenness is convex in the size, and the earlier one is the first that the capacity rules out. So it is enough to
+    keep those that are best somewhere ahead, with the token from which each is.
+    """
+    m, square = len(tok), even * even / UNEVEN
+    back = [0] * m
+    # of each kept boundary: itself, tok + even, its cost's constant term, the last end within capacity, from where it is best
+    kept, middle, term, last, since = [0], [tok[0] + even], [(tok[0] + even) ** 2], [begin[0] + capacity], [-1.0]
+    head, least = 0, np.inf
+    for i in range(1, m):
+        t = tok[i]
+        while head + 1 < len(kept) and since[head + 1] <= t:
+            head += 1
+        if last[head] < t:  # no piece that ends here is small enough
+            least = np.inf
+            continue
+        back[i] = kept[head]
+        least = (t * (t - 2 * middle[head]) + term[head]) / square + price[i] + PIECE
+        u = t + even
+        h = least * square + u * u
+        while True:
+            x = (h - term[-1]) / (2 * (u - middle[-1]))
+            if x > last[-1]:
+                x = last[-1] + 0.5
+            if x > since[-1] or len(kept) - 1 == head:
+                break
+            kept.pop(), middle.pop(), term.pop(), last.pop(), since.pop()
+        kept.append(i), middle.append(u), term.append(h), last.append(begin[i] + capacity), since.append(x)
+    return least, back
+
+
 def cuts(sizes: np.ndarray, cost: np.ndarray, capacity: int, overlap: int) -> list[tuple[int, int]]:
     """Pieces as (first word, end word): the cheapest way to cover all words within ``capacity``.
 
     Every piece but the first begins at the last word boundary that gives at least ``overlap`` tokens of the one before.
     """
     total = int(sizes[-1])
-    room = capacity - overlap
     n = len(sizes) - 1
-    # boundaries: sentences and better ones; finer ones where these lie further apart than a third of the room. Elsewhere
-    # a finer one can't win: it costs more than evener pieces would save
-    at = np.concatenate(([0], np.flatnonzero(cost[1:n] <= SENTENCE) + 1, [n]))
-    for finer in (CLAUSE, np.inf):
-        wide = np.flatnonzero(np.diff(sizes[at]) > room // 3)
-        if len(wide):
-            more = [k + np.flatnonzero(cost[k : at[i + 1]] <= finer) for i in wide if (k := at[i] + 1) < at[i + 1]]
-            at = np.unique(np.concatenate([at, *more])) if more else at
-    tok = sizes[at]
-    # where a piece that follows a cut at each boundary begins
-    start = np.searchsorted(sizes, tok - overlap, side="right") - 1
-    start[0] = 0
-    start = np.maximum(start, 0)
-    begin = sizes[start]
-    pieces = max(2, -(-(total - overlap) // room))
+    pieces = max(2, -(-(total - overlap) // (capacity - overlap)))
     even = (total - overlap) / pieces
-    m = len(at)
-    best = np.full(m, np.inf)
-    best[0] = 0.0
-    back = np.zeros(m, np.int64)
-    price = cost[np.minimum(at, n - 1)].copy() if n else np.zeros(1)
-    price[-1] = 0.0
-    first = np.searchsorted(begin, tok - capacity, side="left")
-    for i in range(1, m):
-        j = slice(first[i], i)
-        if first[i] >= i:
-            continue
-        c = ((tok[i] - even - tok[j]) / even) ** 2
-        c *= UNEVEN
-        c += best[j]
-        k = int(c.argmin())
-        best[i] = c[k] + price[i] + PIECE
-        back[i] = first[i] + k
-    out, i = [], m - 1
+    # where a piece that follows a cut at each boundary begins
+    start = np.maximum(np.searchsorted(sizes, sizes - overlap, side="right") - 1, 0)
+    # no way costs less than as many even pieces as must be, or as are cheapest, with cuts of the least price
+    fewest = max(pieces, total / even / 2**0.5)
+    bound = fewest * PIECE + UNEVEN * (total - fewest * even) ** 2 / (fewest * even**2) + (pieces - 2) * float(cost[1:n].min(initial=INSIDE))
+    # ends of sentences and better boundaries first: their way is the cheapest of all if one cut at a finer boundary takes
+    # any other above its cost; else all boundaries are looked at
+    for worst, finer in ((SENTENCE, CLAUSE), (CLAUSE, WORD), (INSIDE, np.inf)):
+        at = np.concatenate(([0], np.flatnonzero(cost[1:n] <= worst) + 1, [n]))
+        price = cost[at]
+        price[-1] = 0.0
+        least, back = _cheapest(sizes[at].tolist(), sizes[start[at]].tolist(), price.tolist(), capacity, even)
+        if least <= bound + finer:
+            break
+    out, i = [], len(at) - 1
     while i > 0:
-        j = int(back[i])
-        out.append((int(start[j]), int(at[i])))
+        j = back[i]
+        out.append((int(start[at[j]]), int(at[i])))
         i = j
     return out[::-1]
 
