@@ -113,8 +113,8 @@ def band_keys(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def prepared(df: DataFrame, repairer: Repairer, item: str = "item_no", url: str = "url", text: str = "content_text", source: str = "source") -> DataFrame:
-    """What the check needs of every row: page key, text key, the article's words and their band keys.
+def prepared(df: DataFrame, repairer: Repairer, batches: list[Column], item: str = "item_no", url: str = "url", text: str = "content_text", source: str = "source") -> list[DataFrame]:
+    """What the check needs of every row: page key, text key, the article's words and their band keys; a frame a batch.
 
     Texts are judged without repeated lines and lines around the article, decoded and in one spelling; rows that are
     null, blank or residue, or of which nothing is left, have no text key and are judged by url alone.
@@ -129,8 +129,10 @@ def prepared(df: DataFrame, repairer: Repairer, item: str = "item_no", url: str
             hashes = [xxhash.xxh3_128_hexdigest(t) if t else None for t in joined]
             yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("page"), pa.array(hashes, pa.string()), pa.array(joined, pa.string()), pa.array([next(bands) if t else None for t in texts], pa.list_(pa.int64()))], names=["item", "page", "text_key", "words", "bands"])
 
-    rows = df.select(F.col(item).alias("item"), F.col(source).alias("source"), F.col(text).alias("text"), page_key(F.col(url)).alias("page"))
-    return marked(rows, "source", "item", "text", ("page",)).mapInArrow(keys, _PREPARED)
+    rows = df.select(F.col(item).alias("item"), F.col(source).alias("source"), F.col(text).alias("text"), page_key(F.col(url)).alias("page"), F.coalesce(*[F.when(c, F.lit(k)) for k, c in enumerate(batches)]).alias("batch"))
+    ready = marked(rows, "source", "item", "text", ("page", "batch"))
+    # batches are told apart before their texts are looked at: each text is worked on once
+    return [ready.where(F.col("batch") == k).drop("batch").mapInArrow(keys, _PREPARED) for k in range(len(batches))]
 
 
 def similar(pairs: DataFrame, words: DataFrame, limit: float = SIMILARITY) -> DataFrame:
@@ -248,11 +250,11 @@ class History:
 def repeated_articles(df: DataFrame, repairer: Repairer, batches: list[Column] | None = None, item: str = "item_no", **columns: str) -> DataFrame:
     """(first_item_no, item_no) of the rows that repeat an earlier article, with the earliest row of that article.
 
-    ``batches`` are conditions that split ``df`` into what arrives one after another; by default all rows arrive at once.
+    ``batches`` are conditions over ``df`` that split it into what arrives one after another; by default all rows arrive at
+    once. Which lines repeat in their source is judged over all of ``df``.
     The result is the same for every split. Rows without url and text repeat nothing; of copies the least item comes first.
     """
     history = History(df.sparkSession)
-    ready = prepared(df, repairer, item, **columns)
-    for condition in batches or [F.lit(True)]:
-        history.add(ready.where(condition))
+    for arriving in prepared(df, repairer, batches or [F.lit(True)], item, **columns):
+        history.add(arriving)
     return history.repeats().select(F.col("first").alias("first_item_no"), F.col("item").alias("item_no"))

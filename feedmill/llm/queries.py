@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import cleaning, encoding, history, mainbody, mixture, packing, pieces, repeats, spelling, tokens
@@ -36,9 +36,22 @@ def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.normalised(unified.select("item_no", "title", "content_text"), ["title", "content_text"])
 
 
+#: Ranges of batch numbers that p3_found takes one after another.
+ARRIVALS = 3
+
+
+def _arrivals(unified: DataFrame) -> list[Column] | None:
+    """Conditions that split the rows into ranges of batch numbers in their order; rows without one come first."""
+    low, high = unified.agg(F.min("batch_no"), F.max("batch_no")).first()
+    if low is None:
+        return None
+    part = F.floor((F.coalesce("batch_no", F.lit(low)) - low) * ARRIVALS / (high - low + 1))
+    return [part == k for k in range(ARRIVALS)]
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     unified, documents = tables(spark, sf_dir, "unified", "documents")
-    return history.repeated_articles(unified, encoding.train(documents))
+    return history.repeated_articles(unified, encoding.train(documents), _arrivals(unified))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
