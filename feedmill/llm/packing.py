@@ -46,6 +46,13 @@ class _Left:
             below[p] = bound
         return bound
 
+    def smallest(self, above: int) -> int:
+        """The smallest size above a bound that no item is left up to; an item must be left."""
+        size = above + 1
+        while not self.count[size]:
+            size += 1
+        return size
+
     def take(self, size: int) -> None:
         self.count[size] -= 1
         self.total -= 1
@@ -57,16 +64,15 @@ class _Left:
         self.total += 1
 
 
-def best_two(left: _Left, bound: int, more_than: int, tries: int) -> tuple[int, int] | None:
-    """Two sizes that are left, of a sum up to ``bound`` and above ``more_than``, as large as can be.
+def best_two(left: _Left, bound: int, more_than: int, least: int) -> tuple[int, int] | None:
+    """Two sizes that are left, of a sum up to ``bound`` and above ``more_than``, as large as can be; ``least`` is the
+    smallest size that is left.
 
-    Looks at the ``tries`` largest sizes for the first of them; the second is then the largest that fits.
+    The first of them leaves room for the least; the second is then the largest that fits.
     """
     best, found = more_than, None
-    a = left.largest(bound)
-    for _ in range(tries):
-        if a <= 0 or 2 * a <= best:
-            break
+    a = left.largest(bound - least)
+    while a > 0 and 2 * a > best:
         b = left.largest(min(a if left.count[a] > 1 else a - 1, bound - a))
         if b and a + b > best:
             best, found = a + b, (a, b)
@@ -76,7 +82,7 @@ def best_two(left: _Left, bound: int, more_than: int, tries: int) -> tuple[int,
     return found
 
 
-def pack(sizes: np.ndarray, capacity: int, tries: int = 64) -> list[list[int]]:
+def pack(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     """Containers as lists of sizes; every size is between 1 and ``capacity``."""
     left = _Left(sizes, capacity)
     out = []
@@ -88,7 +94,7 @@ def pack(sizes: np.ndarray, capacity: int, tries: int = 64) -> list[list[int]]:
             gap -= s
         if gap and left.total > 1:
             smallest = bin_[-1]
-            if two := best_two(left, gap + smallest, smallest, tries):
+            if two := best_two(left, gap + smallest, smallest, left.smallest(gap)):
                 left.put(smallest)
                 for s in two:
                     left.take(s)
