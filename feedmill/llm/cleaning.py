@@ -94,14 +94,18 @@ def bodies(df: DataFrame, repairer: Repairer, source: str = "source", item: str
     return marked(df, source, item, text).mapInArrow(keep, "item long, body string").withColumnRenamed("item", item)
 
 
-def residue_items(df: DataFrame, item: str = "item_no", text: str = "content_text") -> DataFrame:
-    """(item) of the rows whose text is template residue, filler, an error page or a script notice."""
+def residue_items(df: DataFrame, repairer: Repairer | None = None, item: str = "item_no", text: str = "content_text") -> DataFrame:
+    """(item) of the rows whose text is template residue, filler, an error page or a script notice.
+
+    With a repairer, texts are judged as they read when they are decoded rightly. Null and blank texts are no such rows.
+    """
     rows = df.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).where(F.col("text").rlike(r"\S"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                flags = residue_flags(batch.column("text").cast(pa.string()))
+                texts = batch.column("text").cast(pa.string())
+                flags = residue_flags(pa.array(restored(texts, repairer), pa.string()) if repairer else texts)
                 yield pa.RecordBatch.from_arrays([batch.column("item").filter(pa.array(flags))], names=["item"])
 
     return rows.mapInArrow(find, "item long").withColumnRenamed("item", item)
@@ -130,8 +134,7 @@ def misspelt_fields(df: DataFrame, repairer: Repairer, fields: tuple[str, ...] =
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(holds(batch.column("text"), spelling.SIGNS)))
-            texts = batch.column("text").to_pylist()
-            keep = pa.array([spelling.damaged(t) and not repairer.restore(t)[1] for t in texts], pa.bool_())
+            keep = spelling.per_distinct(lambda t: spelling.respelt(t) and not repairer.restore(t)[1], batch.column("text"), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("item", "field_name")], names=["item", "field_name"])
 
     return rows.mapInArrow(find, "item long, field_name string").withColumnRenamed("item", item)

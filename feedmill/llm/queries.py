@@ -70,8 +70,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (unified,) = tables(spark, sf_dir, "unified")
-    return cleaning.residue_items(unified)
+    unified, documents = tables(spark, sf_dir, "unified", "documents")
+    return cleaning.residue_items(unified, encoding.train(documents))
 
 
 def _limits(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:

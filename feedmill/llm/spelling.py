@@ -11,11 +11,10 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: Default-ignorable code points (fixed values of the Unicode property, the ones outside private use).
 IGNORABLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8"
@@ -82,11 +81,6 @@ _OF = [re.compile(f"[{x}]") for x in (_CYR, _LAT, _GRK)]
 
 #: Any of these forms, for whole batches at once.
 SIGNS = f"[{IGNORABLE}{SPACES}{WIDE}\u0300-\u036f]|{_MIXED.pattern}"
-#: The same tests as Java patterns, for filters that stay in the JVM.
-JVM_SIGNS = f"[{IGNORABLE}{SPACES}{WIDE}]"
-JVM_MIXED = _MIXED.pattern
-JVM_MARKS = "\\p{L}[\u0300-\u036f]"
-
 
 def one_script(word: str) -> str:
     """The word in the script that most of its letters which belong to one script only are of; as it stands if its
@@ -126,39 +120,29 @@ def fold(text: str | None) -> str | None:
     return None if text is None else normalise(text).casefold()
 
 
-def damaged(text: str | None) -> bool:
-    """Whether ``text`` holds a form that problem 6 names."""
-    if not text:
-        return False
-    if _DROP.search(text) or _SPACE.search(text) or _WIDE.search(text) or _MIXED.search(text):
-        return True
-    return any(len(unicodedata.normalize("NFC", m[0])) < len(m[0]) for m in _MARKS.finditer(text))
-
-
-def suspect(column: Column) -> Column:
-    """Whether a text can hold such a form at all: a superset of ``damaged``, evaluated in the JVM."""
-    return column.rlike(JVM_SIGNS) | column.rlike(JVM_MIXED) | column.rlike(JVM_MARKS)
+def respelt(text: str | None) -> bool:
+    """Whether ``text`` holds a form that problem 6 names: one that ``normalise`` changes, or a word of two scripts that it
+    can't write in one."""
+    return bool(text) and ((found := normalise(text)) != text or _MIXED.search(found) is not None)
 
 
-def per_distinct(function, values: pd.Series) -> pd.Series:
-    """``function`` of each distinct value of a batch, spread over its rows."""
-    coded = pa.Array.from_pandas(values, type=pa.string()).dictionary_encode()
-    known = pa.array([function(v) for v in coded.dictionary.to_pylist()], type=pa.string())
-    return known.take(coded.indices).to_pandas()
+def per_distinct(function, values: pa.Array, kind: pa.DataType) -> pa.Array:
+    """``function`` of each distinct value, spread over the rows that have it; null for null."""
+    coded = values.cast(pa.string()).dictionary_encode()
+    return pa.array([function(v) for v in coded.dictionary.to_pylist()], type=kind).take(coded.indices)
 
 
 def normalised(df: DataFrame, columns: list[str], folded: bool = False) -> DataFrame:
     """``df`` with the given text columns in one consistent spelling.
 
-    Nulls stay null, empty texts stay empty; all other columns, whatever their names, are passed on untouched.
-    Only texts that can hold such a form are sent to Python; each distinct value of a batch is worked on once.
+    Nulls stay null, empty texts stay empty; all other columns, whatever their names, are passed on untouched. One pattern
+    over a whole batch tells which texts can hold such a form at all; each distinct value of these is worked on once.
     """
-    function = fold if folded else normalise
 
-    @F.pandas_udf(StringType())
-    def convert(values: pd.Series) -> pd.Series:
-        return per_distinct(function, values)
+    @F.arrow_udf("string")
+    def convert(values: pa.Array) -> pa.Array:
+        odd = pc.fill_null(pc.match_substring_regex(values, SIGNS), False)
+        found = pc.replace_with_mask(values.cast(pa.string()), odd, per_distinct(normalise, values.filter(odd), pa.string()))
+        return per_distinct(str.casefold, found, pa.string()) if folded else found
 
-    if folded:
-        return df.withColumns({c: convert(F.col(f"`{c}`")) for c in columns})
-    return df.withColumns({c: F.when(suspect(F.col(f"`{c}`")), convert(F.when(suspect(F.col(f"`{c}`")), F.col(f"`{c}`")))).otherwise(F.col(f"`{c}`")) for c in columns})
+    return df.withColumns({c: convert(F.col(f"`{c}`")) for c in columns})
