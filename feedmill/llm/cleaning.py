@@ -19,10 +19,10 @@ from feedmill.llm.residue import residue_flags
 ROWS_AT_ONCE = 2000
 
 
-def marked(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", keep: tuple[str, ...] = ()) -> DataFrame:
+def marked(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", keep: tuple[str, ...] = (), frequent: DataFrame | None = None) -> DataFrame:
     """What ``judged`` needs of each row: its text and the identifiers of its source's repeated lines."""
     rows = df.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text"), F.col(source).alias("source"), *keep)
-    return repeats.with_repeated_ids(rows, "_ids", "source", "item", "text").select("item", "text", "_ids", *keep)
+    return repeats.with_repeated_ids(rows, "_ids", "source", "item", "text", frequent).select("item", "text", "_ids", *keep)
 
 
 def holds(texts: pa.Array, pattern: str) -> np.ndarray:

@@ -1,18 +1,25 @@
 """Problem 3: every batch is checked against all that was accepted before it.
 
-A ``History`` keeps, as tables partitioned by hash bucket, the keys of accepted rows: page keys (urls without what does
-not choose the page), text keys, minwise band keys with the row they stand for, and the articles' words. A batch probes
-the buckets its own keys fall into, verifies the candidates' similarity exactly, and appends its keys; links found so far
-are kept, so a row that joins two older articles makes one of them. Copies of a text share one representative, whose
-bands are all that is compared, so a text that stands in a third of all rows costs no more than any other.
-
-Within a bucket of equal band keys, members are first verified against the bucket's first member only; just those that
-are then still apart from others of the bucket are compared across: no link between different texts is lost, and a large
-group of near-copies costs one comparison a member.
+A ``History`` is a folder that lasts from session to session. Each accepted batch leaves a segment in it: the keys of its
+rows (page keys: urls without what does not choose the page; text keys), the minwise band keys of its new texts with the row
+that stands for each, and these texts' signatures (the hashes of all their shingles). A segment's tables lie in hash
+buckets, as many as its size asks for, so a batch reads only the buckets its own keys fall into, of a size that doesn't
+grow with the history. A segment counts once its commit, one small file, is there; a batch committed before is not taken
+again. Copies of a text share one representative, whose bands are all that is compared, so a text that stands in a third of
+all rows costs no more than any other.
+
+Within a bucket of equal band keys, members are first verified against the bucket's first member, which gives each its
+distance to it. Of members then still apart only those are compared whose distances to the first differ by no more than two
+like articles lie apart: distances of sets obey the triangle inequality, so no other pair can be alike.
+
+Rows found to be the same article form a forest: each row that isn't the first of its article has the first row as it was
+known then; links of a batch are followed to the present first rows and only these are joined anew.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -23,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmill.llm import repeats
 from feedmill.llm.cleaning import judged, marked
 from feedmill.llm.encoding import Repairer
 from feedmill.shared import cut, shared_dir, small_side, written
@@ -31,15 +39,19 @@ from feedmill.shared import cut, shared_dir, small_side, written
 SHINGLE, SIMILARITY = 3, 0.8
 #: Bands and rows of a band: two texts at the limit miss each other in all bands with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
-#: Hash buckets that the tables are partitioned by.
-BUCKETS = 16
-#: Rows of two numbers up to which a side of a join is broadcast: 16 MB.
-FEW = 1_000_000
+#: Rows of a bucket, about, for each table of a segment; and buckets of a segment, at most, as a power of two.
+BUCKET_ROWS, MOST_BITS = {"keys": 100_000, "bands": 500_000, "signatures": 5_000, "parents": 500_000}, 12
+#: Rows of two numbers up to which a side of a join is broadcast: 8 MB.
+FEW = 500_000
 #: Query parameters that do not choose the page: fixed values.
 TRACKING = r"^(?:utm_\w*|yclid|gclid|fbclid|ysclid|msclkid|dclid|mc_cid|mc_eid|_openstat|openstat|from|ref|referrer|igshid|_ga|cmpid|share)(?:=|$)"
 
 _WORD = re.compile(r"\w+")
-_PREPARED = "item long, page string, text_key string, words string, bands array<long>"
+_PREPARED = "item long, page string, text_key string, signature binary, bands array<long>"
+_TABLES = {"keys": "kind string, key string, first long", "bands": "key long, rep long", "signatures": "rep long, signature binary", "parents": "node long, parent long"}
+#: What rows of a table lie in buckets by.
+_HASHED = {"keys": F.xxhash64, "bands": lambda k: F.col(k) if isinstance(k, str) else k, "signatures": F.xxhash64, "parents": F.xxhash64}
+_KEY = {"keys": "key", "bands": "key", "signatures": "rep", "parents": "node"}
 
 
 def page_key(url: Column) -> Column:
@@ -114,7 +126,7 @@ def band_keys(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def prepared(df: DataFrame, repairer: Repairer, batches: list[Column], item: str = "item_no", url: str = "url", text: str = "content_text", source: str = "source") -> list[DataFrame]:
-    """What the check needs of every row: page key, text key, the article's words and their band keys; a frame a batch.
+    """What the check needs of every row: page key, text key, the article's signature and its band keys; a frame a batch.
 
     Texts are judged without repeated lines and lines around the article, decoded and in one spelling; rows that are
     null, blank or residue, or of which nothing is left, have no text key and are judged by url alone.
@@ -123,37 +135,41 @@ def prepared(df: DataFrame, repairer: Repairer, batches: list[Column], item: str
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, rows in judged(batches, repairer):
             texts = [_WORD.findall("\n".join(x for n, (x, mine) in enumerate(zip(row[0], row[1]), 1) if mine and n not in row[2]).lower()) if row else [] for row in rows]
-            flat, starts = shingles(texts)
-            bands = iter(band_keys(flat, starts).tolist())
-            joined = [" ".join(t) if t else None for t in texts]
-            hashes = [xxhash.xxh3_128_hexdigest(t) if t else None for t in joined]
-            yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("page"), pa.array(hashes, pa.string()), pa.array(joined, pa.string()), pa.array([next(bands) if t else None for t in texts], pa.list_(pa.int64()))], names=["item", "page", "text_key", "words", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("page"), *keyed(texts)], names=["item", "page", "text_key", "signature", "bands"])
 
-    rows = df.select(F.col(item).alias("item"), F.col(source).alias("source"), F.col(text).alias("text"), page_key(F.col(url)).alias("page"), F.coalesce(*[F.when(c, F.lit(k)) for k, c in enumerate(batches)]).alias("batch"))
-    ready = marked(rows, "source", "item", "text", ("page", "batch"))
-    # batches are told apart before their texts are looked at: each text is worked on once
-    return [ready.where(F.col("batch") == k).drop("batch").mapInArrow(keys, _PREPARED) for k in range(len(batches))]
+    frequent = repeats.repeated_ids(df, source, item, text)
+    out = []
+    for chosen in batches:
+        rows = df.where(chosen).select(F.col(item).alias("item"), F.col(source).alias("source"), F.col(text).alias("text"), page_key(F.col(url)).alias("page"))
+        out.append(marked(rows, "source", "item", "text", ("page",), frequent).mapInArrow(keys, _PREPARED))
+    return out
 
 
-def similar(pairs: DataFrame, words: DataFrame, limit: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose articles share at least ``limit`` of all their shingles."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
-    words = words.join(small_side(ids), "rep", "left_semi")
-    left, right = (words.select(F.col("rep").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
+def keyed(texts: list[list[str]]) -> list[pa.Array]:
+    """Text keys, signatures and band keys of texts as lists of words; nulls for those without words."""
+    flat, starts = shingles(texts)
+    bands = iter(band_keys(flat, starts).tolist())
+    return [
+        pa.array([xxhash.xxh3_128_hexdigest(" ".join(t)) if t else None for t in texts], pa.string()),
+        pa.array([np.unique(flat[a:b]).tobytes() if b > a else None for a, b in zip(starts[:-1], starts[1:])], pa.binary()),
+        pa.array([next(bands) if t else None for t in texts], pa.list_(pa.int64())),
+    ]
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def compared(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(a, b, similarity) of pairs (a, b): the shingles they share to those of both."""
+    left, right = (signatures.select(F.col("rep").alias(c), F.col("signature").alias(f"{c}_s")) for c in ("a", "b"))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = ([t.split(" ") for t in batch.column(c).to_pylist()] for c in ("a_words", "b_words"))
-            (fa, sa), (fb, sb) = shingles(a), shingles(b)
-            keep = []
-            for i in range(len(a)):
-                x, y = np.unique(fa[sa[i] : sa[i + 1]]), np.unique(fb[sb[i] : sb[i + 1]])
+            found = []
+            for x, y in zip(batch.column("a_s").to_pylist(), batch.column("b_s").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= limit * (len(x) + len(y) - shared) - 1e-9)
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+                found.append(shared / (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_words", "b_words").mapInArrow(verify, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_s", "b_s").mapInArrow(measure, "a long, b long, similarity double")
 
 
 def classes(edges: DataFrame) -> DataFrame:
@@ -179,72 +195,152 @@ def classes(edges: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct())
 
 
+def bucket(hashed: Column, bits: int) -> Column:
+    """The bucket of a hash: its first bits."""
+    return F.shiftrightunsigned(hashed, 64 - bits).cast("int") if bits else F.lit(0)
+
+
 class History:
-    """The keys of all accepted rows, in a folder that all executors share."""
+    """What was accepted so far, in a folder that all executors share; an existing folder is gone on with."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.batches = 0
-        self.spark, self.path = spark, path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception:  # nothing was appended yet
-            return self.spark.createDataFrame([], schema)
-
-    def _append(self, df: DataFrame, name: str, *by: str) -> None:
-        df.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}", partitionBy=list(by) or None)
-
-    def add(self, arriving: DataFrame) -> None:
-        """Checks a prepared batch against itself and everything before it; appends its keys and the links found."""
-        now, self.batches = self.batches, self.batches + 1
-        self._append(arriving.withColumn("batch", F.lit(now)), "rows", "batch")
-        every = self._read("rows", f"{_PREPARED}, batch int")
-        rows = every.where(F.col("batch") == now)
-        # texts that no row had before: the least row that has one stands for it
-        texts = rows.where("text_key is not null").groupBy("text_key").agg(F.min("item").alias("rep"))
-        before = self._read("text_key", "key string, first long, bucket int").select(F.col("key").alias("text_key"))
-        fresh = written(texts.join(before, "text_key", "left_anti") if now else texts, "fresh")
-        self._append(self._keyed(rows, "page", now).unionByName(self._keyed(rows, "text_key", now)), "links")
-        bands = rows.select(F.col("item").alias("rep"), "bands").join(small_side(fresh.select("rep"), FEW), "rep", "left_semi").select("rep", F.explode("bands").alias("key"))
-        self._append(bands.withColumn("batch", F.lit(now)).withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")), "bands", "batch", "bucket")
-        held = self._read("bands", "rep long, key long, batch int, bucket int")
-        new = held.where(F.col("batch") == now).select("key", "rep", "bucket")
-        everything = new
-        if now:  # of the older keys only those that the batch has, too, from the buckets that these fall into
-            old = held.where(F.col("batch") < now).select("key", "rep", "bucket")
-            everything = new.unionByName(old.join(new.select("bucket", "key").distinct(), ["bucket", "key"], "left_semi"))
+        self.spark, self.path = spark, (path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}").rstrip("/")
+        self._files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(self._at(self.path).toUri(), spark._jsc.hadoopConfiguration())
+        #: The segments in their order: folder, batch and for each table its bits and the buckets it has.
+        self.segments: list[dict] = []
+        commits = self._at(f"{self.path}/commits")
+        if self._files.exists(commits):
+            names = sorted(x.getPath().toString() for x in self._files.listStatus(commits))
+            self.segments = [json.loads(r[0]) for r in sorted(spark.read.text(names, wholetext=True).select("value", F.input_file_name().alias("f")).collect(), key=lambda r: r[1])] if names else []
+
+    def _at(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _put(self, df: DataFrame, table: str, folder: str, rows: int) -> dict:
+        """Writes a table of a new segment in buckets; what the commit says of it."""
+        bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS[table]))))
+        if rows:
+            out = df.withColumn("bucket", bucket(_HASHED[table](_KEY[table]), bits))
+            if bits:
+                out = out.hint("rebalance", "bucket")
+            out.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{folder}/{table}")
+        at = self._at(f"{folder}/{table}")
+        names = [x.getPath().getName() for x in self._files.listStatus(at)] if rows else []
+        return {"bits": bits, "buckets": sorted(int(n[7:]) for n in names if n.startswith("bucket="))}
+
+    def probed(self, table: str, keys: DataFrame) -> DataFrame | None:
+        """The rows of the table's buckets that ``keys`` (a column named as the table's key) fall into, of all segments;
+        null if there are none. Of the keys only the numbers of their buckets, 2^12 at most, reach the driver."""
+        held = [(s["folder"], s[table]) for s in self.segments if s[table]["buckets"]]
+        if not held:
+            return None
+        most = max(t["bits"] for _, t in held)
+        wanted = {r[0] for r in keys.select(bucket(_HASHED[table](_KEY[table]), most)).distinct().collect()}
+        paths = []
+        for folder, t in held:
+            near = {w >> (most - t["bits"]) for w in wanted}
+            paths += [f"{self.path}/{folder}/{table}/bucket={b}" for b in t["buckets"] if b in near]
+        return self.spark.read.schema(_TABLES[table]).parquet(*paths) if paths else None
+
+    def roots(self, nodes: DataFrame) -> DataFrame:
+        """(node, root): the first row of the article of each node, as it is known now."""
+        now = nodes.select("node", F.col("node").alias("root"))
+        while (held := self.probed("parents", now.select(F.col("root").alias("node")))) is not None:
+            up = held.select(F.col("node").alias("root"), "parent")
+            after = written(now.join(up, "root", "left").select("node", F.coalesce("parent", "root").alias("root"), F.col("parent").isNotNull().alias("moved")), "roots")
+            now = after.select("node", "root")
+            if not after.where("moved").limit(1).count():
+                break
+        return now
+
+    def add(self, arriving: DataFrame, batch: str | None = None) -> None:
+        """Checks a prepared batch against itself and everything before it, and appends its keys and the links found.
+
+        A batch of a name that was committed before changes nothing. What a failed batch has written counts for nothing.
+        """
+        if batch is not None and any(s["batch"] == batch for s in self.segments):
+            return
+        name = f"segment-{len(self.segments):09d}-{uuid.uuid4().hex}"
+        folder = f"{self.path}/{name}"
+        rows = written(arriving, "arriving")
+        segment: dict = {"folder": name, "batch": batch}
+        # keys: links to the earliest row that has one; those nobody had before are new
+        kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("page", "text_key")])).alias("x")
+        seen = rows.select("item", kinds).select("item", "x.*").where("key is not null")
+        firsts = written(seen.groupBy("kind", "key").agg(F.min("item").alias("first")), "firsts")
+        old = self.probed("keys", firsts)
+        known = firsts.withColumn("old", F.lit(None).cast("long")) if old is None else written(firsts.join(old.select("kind", "key", F.col("first").alias("old")), ["kind", "key"], "left"), "known")
+        links = seen.join(known, ["kind", "key"]).select(F.coalesce("old", "first").alias("a"), F.col("item").alias("b"))
+        fresh = known.where("old is null")
+        counts = {r[0]: r[1] for r in fresh.groupBy("kind").count().collect()}
+        segment["keys"] = self._put(fresh.select("kind", "key", "first"), "keys", folder, sum(counts.values()))
+        # texts that no row had before, each with the row that stands for it
+        texts = rows.join(small_side(written(fresh.where("kind = 'text_key'").select(F.col("first").alias("item")), "fresh"), FEW), "item", "left_semi")
+        n = counts.get("text_key", 0)
+        segment["bands"] = self._put(texts.select(F.explode("bands").alias("key"), F.col("item").alias("rep")), "bands", folder, n * BANDS)
+        segment["signatures"] = self._put(texts.select(F.col("item").alias("rep"), "signature"), "signatures", folder, n)
+        alike = self._alike(segment) if n else None
+        # links between rows lead to links between first rows as they are now; these are joined anew
+        links = written((links if alike is None else links.unionByName(alike)).where("a <> b").distinct(), "links")
+        nodes = self.roots(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        ends = (nodes.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
+        for end in ends:
+            links = links.join(end, end.columns[0])
+        found = classes(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
+        parents = cut(found.where("node <> label").select("node", F.col("label").alias("parent")))
+        segment["parents"] = self._put(parents, "parents", folder, parents.count())
+        self._commit(segment)
+
+    def _alike(self, segment: dict) -> DataFrame:
+        """Pairs (a, b) of like articles of which at least one is in the new segment."""
+        mine, before = History.__new__(History), self.segments
+        mine.spark, mine.path, mine.segments = self.spark, self.path, [segment]
+        new = mine._all("bands")
+        old = self.probed("bands", new) if before else None
+        everything = new.withColumn("new", F.lit(True))
+        if old is not None:
+            everything = everything.unionByName(old.join(new.select("key").distinct(), "key", "left_semi").withColumn("new", F.lit(False)))
         # one member a bucket that all others are verified against
-        firsts = written(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("key", "a"), "firsts")
+        firsts = written(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.max("new").alias("new")).where("a <> z and new").select("key", "a"), "pivots")
         members = written(everything.join(small_side(firsts, FEW), "key").select("key", "a", F.col("rep").alias("b")), "members")
-        words = every.select(F.col("item").alias("rep"), "words")
-        pairs = members.where("a <> b").select("a", "b").distinct()
-        stars = written(similar(pairs, words), "stars")
-        # members whose class differs from another member's of the bucket are compared across
-        labels = cut(classes(stars))
-        of = members.join(small_side(labels.withColumnRenamed("node", "b"), FEW), "b", "left").select("key", "b", F.coalesce("label", "b").alias("label"))
+        ids = written(members.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
+        held = self.probed("signatures", ids)
+        signatures = mine._all("signatures") if held is None else mine._all("signatures").unionByName(held)
+        signatures = signatures.join(small_side(ids, FEW), "rep", "left_semi")
+        stars = written(compared(members.where("a <> b").select("a", "b").distinct(), signatures), "stars")
+        like = F.col("similarity") >= SIMILARITY - 1e-9
+        labels = cut(classes(stars.where(like).select("a", "b")))
+        # members whose class differs from another member's of the bucket are compared if their distances to its first allow it
+        of = members.join(small_side(labels.withColumnRenamed("node", "b"), FEW), "b", "left").join(stars, ["a", "b"], "left")
+        of = of.select("key", "b", F.coalesce("label", "b").alias("label"), (1 - F.coalesce("similarity", F.lit(1.0))).alias("far"))
         apart = of.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y and n > 2").select("key")
         mixed = written(of.join(apart, "key"), "mixed")
-        across = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.b") < F.col("r.b")) & (F.col("l.label") != F.col("r.label")))
-        across = across.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        self._append(stars.unionByName(similar(written(across, "across"), words)), "links")
-
-    def _keyed(self, rows: DataFrame, key: str, now: int) -> DataFrame:
-        """Links of rows with equal keys to the earliest row of the key; appends the batch's keys."""
-        seen = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), "item")
-        firsts = seen.groupBy("key").agg(F.min("item").alias("first")).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
-        known = firsts
-        if now:
-            old = self._read(key, "key string, first long, bucket int").join(firsts.select("bucket", "key"), ["bucket", "key"], "left_semi")
-            known = firsts.unionByName(old).groupBy("key").agg(F.min("first").alias("first"))
-        links = written(seen.join(known.select("key", "first"), "key").where("item <> first").select(F.col("first").alias("a"), F.col("item").alias("b")), "links")
-        self._append(firsts, key, "bucket")
-        return links
+        near = F.abs(F.col("l.far") - F.col("r.far")) <= 1 - SIMILARITY + 1e-9
+        across = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.b") < F.col("r.b")) & (F.col("l.label") != F.col("r.label")) & near)
+        across = across.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+        return stars.where(like).select("a", "b").unionByName(compared(written(across, "across"), signatures).where(like).select("a", "b"))
+
+    def _all(self, table: str) -> DataFrame:
+        """A table of all segments."""
+        paths = [f"{self.path}/{s['folder']}/{table}/bucket={b}" for s in self.segments for b in s[table]["buckets"]]
+        return self.spark.read.schema(_TABLES[table]).parquet(*paths) if paths else self.spark.createDataFrame([], _TABLES[table])
+
+    def _commit(self, segment: dict) -> None:
+        """Makes the segment count, in one step: its commit is a file that nobody may have made before."""
+        at = self._at(f"{self.path}/commits/{len(self.segments):09d}.json")
+        out = self._files.create(at, False)
+        out.write(json.dumps(segment).encode())
+        out.close()
+        self.segments.append(segment)
 
     def repeats(self) -> DataFrame:
         """(first, item) of every row that repeats an earlier article, with that article's first row."""
-        found = classes(self._read("links", "a long, b long"))
-        return found.where("label <> node").select(F.col("label").alias("first"), F.col("node").alias("item"))
+        now = self._all("parents").select(F.col("node").alias("item"), F.col("parent").alias("first"))
+        # a path up the forest has as many steps as segments, at most; each round halves it
+        for _ in range(max(0, math.ceil(math.log2(max(1, len(self.segments)))))):
+            up = now.select(F.col("item").alias("first"), F.col("first").alias("above"))
+            now = written(now.join(up, "first", "left").select("item", F.coalesce("above", "first").alias("first")), "firsts")
+        return now.select("first", "item")
 
 
 def repeated_articles(df: DataFrame, repairer: Repairer, batches: list[Column] | None = None, item: str = "item_no", **columns: str) -> DataFrame:

@@ -37,7 +37,7 @@ def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Ranges of batch numbers that p3_found takes one after another.
-ARRIVALS = 3
+ARRIVALS = 4
 
 
 def _arrivals(unified: DataFrame) -> list[Column] | None:
@@ -45,8 +45,10 @@ def _arrivals(unified: DataFrame) -> list[Column] | None:
     low, high = unified.agg(F.min("batch_no"), F.max("batch_no")).first()
     if low is None:
         return None
-    part = F.floor((F.coalesce("batch_no", F.lit(low)) - low) * ARRIVALS / (high - low + 1))
-    return [part == k for k in range(ARRIVALS)]
+    number = F.col("batch_no")
+    ends = [low + (high - low + 1) * k // ARRIVALS for k in range(ARRIVALS + 1)]
+    ranges = [(number >= a) & (number < b) for a, b in zip(ends, ends[1:])]
+    return [ranges[0] | number.isNull(), *ranges[1:]]
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,13 +156,20 @@ def repeated_lines(df: DataFrame, source: str = "source", item: str = "item_no",
     return lines.join(small_side(single), ["src", "id"], "left_semi").select(F.col("item").alias(item), F.col("line_no").cast("long").alias("line_no"))
 
 
-def with_repeated_ids(df: DataFrame, out: str, source: str = "source", item: str = "item_no", text: str = "content_text") -> DataFrame:
-    """``df`` with ``out``: the identifiers of the lines that belong to repeated blocks of its source, as an array."""
+def repeated_ids(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text") -> DataFrame:
+    """(src, ids): the identifiers of the lines that belong to repeated blocks of each source."""
     blocks, _ = repeated_blocks(df, source, item, text)
-    src = unused(df, "_src")
     # a source has at most lines-a-row / min_share such lines: the arrays are short, however large the source is
-    frequent = written(blocks.where("depth = 1").groupBy(F.col("src").alias(src)).agg(F.collect_set("i0").alias(out)), "repeated-ids")
-    return df.withColumn(src, source_id(F.col(source))).join(small_side(frequent, 20_000), src, "left").drop(src)
+    return written(blocks.where("depth = 1").groupBy("src").agg(F.collect_set("i0").alias("ids")), "repeated-ids")
+
+
+def with_repeated_ids(df: DataFrame, out: str, source: str = "source", item: str = "item_no", text: str = "content_text", frequent: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``out``: the identifiers of the lines that belong to repeated blocks of its source, as an array; of the
+    sources of ``df``, unless ``frequent`` has what ``repeated_ids`` found in a larger table."""
+    frequent = repeated_ids(df, source, item, text) if frequent is None else frequent
+    src = unused(df, "_src")
+    named = frequent.select(F.col("src").alias(src), F.col("ids").alias(out))
+    return df.withColumn(src, source_id(F.col(source))).join(small_side(named, 20_000), src, "left").drop(src)
 
 
 def repeated_numbers(texts: pa.Array, ids: list[list[int] | None]) -> list[frozenset[int]]:

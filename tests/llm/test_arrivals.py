@@ -17,5 +17,5 @@ def test_the_query_takes_several_batches(spark, rows, repairer, tmp_path, monkey
     sizes, add = [], history.History.add
     monkeypatch.setattr(history.History, "add", lambda self, arriving: (sizes.append(arriving.count()), add(self, arriving)))
     found = sorted(map(tuple, queries.p3_found(spark, str(tmp_path)).collect()))
-    assert len(sizes) > 1 and all(sizes) and sum(sizes) == 12
+    assert len(sizes) == 4 and all(sizes) and sum(sizes) == 12
     assert found and found == sorted(map(tuple, history.repeated_articles(df, repairer).collect()))

@@ -38,15 +38,11 @@ def model(rows):
 
 
 def prepared(spark, rows):
-    texts = [w or [] for _, _, w in rows]
-    flat, starts = history.shingles(texts)
-    bands = iter(history.band_keys(flat, starts).tolist())
-    data = [(i, p, str(w) if w else None, " ".join(w) if w else None, next(bands) if w else None) for i, p, w in rows]
-    return spark.createDataFrame(data, history._PREPARED)
+    columns = [c.to_pylist() for c in history.keyed([w or [] for _, _, w in rows])]
+    return spark.createDataFrame([(i, p, *(c[k] for c in columns)) for k, (i, p, _) in enumerate(rows)], history._PREPARED)
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_classes_as_all_pairs_give_them(spark, parts):
+def some_rows():
     rng = random.Random(7)
     rows, made = [], []
     for i in range(120):
@@ -57,13 +53,72 @@ def test_classes_as_all_pairs_give_them(spark, parts):
                 words[rng.randrange(len(words))] = f"w{rng.randint(0, 400)}"
         made.append(words)
         rows.append((i, rng.choice([None, f"p{rng.randint(0, 60)}"]), None if rng.random() < 0.1 else words))
-    ready = prepared(spark, rows).checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else prepared(spark, rows)
+    return rows
+
+
+def part(ready, k, parts):
+    return ready.where((F.col("item") >= 120 * k // parts) & (F.col("item") < 120 * (k + 1) // parts))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_classes_as_all_pairs_give_them(spark, parts, monkeypatch):
+    monkeypatch.setattr(history, "BUCKET_ROWS", dict.fromkeys(history.BUCKET_ROWS, 16))  # many buckets
+    rows = some_rows()
+    ready = prepared(spark, rows)
     found = history.History(spark)
     for k in range(parts):
-        found.add(ready.where((F.col("item") >= 120 * k // parts) & (F.col("item") < 120 * (k + 1) // parts)))
+        found.add(part(ready, k, parts))
     assert sorted(tuple(r) for r in found.repeats().collect()) == model(rows)
 
 
+def test_a_history_lasts(spark, tmp_path, monkeypatch):
+    """Another session goes on where one ended; a batch that comes again or failed changes nothing."""
+    monkeypatch.setattr(history, "BUCKET_ROWS", dict.fromkeys(history.BUCKET_ROWS, 16))
+    rows, path = some_rows(), f"file://{tmp_path}/history"
+    ready = prepared(spark, rows)
+    history.History(spark, path).add(part(ready, 0, 3), "first")
+    broken = history.History(spark, path)
+    monkeypatch.setattr(broken, "_commit", lambda segment: (_ for _ in ()).throw(OSError))
+    with pytest.raises(OSError):
+        broken.add(part(ready, 1, 3), "second")
+    for _ in range(2):
+        history.History(spark, path).add(part(ready, 1, 3), "second")
+    last = history.History(spark, path)
+    last.add(part(ready, 2, 3), "third")
+    assert [s["batch"] for s in last.segments] == ["first", "second", "third"]
+    assert sorted(tuple(r) for r in history.History(spark, path).repeats().collect()) == model(rows)
+    # two writers can't both commit one segment
+    with pytest.raises(Exception, match="(?i)exists"):
+        broken.segments = broken.segments[:1]
+        history.History._commit(broken, last.segments[1])
+
+
+def test_a_lost_segment_is_no_empty_one(spark, tmp_path):
+    import shutil
+
+    ready, path = prepared(spark, some_rows()), f"{tmp_path}/history"
+    first = history.History(spark, f"file://{path}")
+    first.add(part(ready, 0, 2))
+    shutil.rmtree(f"{path}/{first.segments[0]['folder']}")
+    with pytest.raises(Exception):
+        history.History(spark, f"file://{path}").add(part(ready, 1, 2))
+
+
+def test_a_small_batch_reads_as_little_of_a_large_history(spark, monkeypatch):
+    monkeypatch.setattr(history, "BUCKET_ROWS", dict.fromkeys(history.BUCKET_ROWS, 64))
+    read = {}
+    for size in (100, 1000):
+        rng = random.Random(size)
+        old = prepared(spark, [(i, f"p{i}", [f"w{rng.randint(0, 10**6)}" for _ in range(30)]) for i in range(size)])
+        kept = history.History(spark)
+        kept.add(old)
+        probe = prepared(spark, [(5000, "p3", [f"w{rng.randint(0, 10**6)}" for _ in range(30)])])
+        keys = {"keys": probe.select(F.col("page").alias("key")), "bands": probe.select(F.explode("bands").alias("key"))}
+        read[size] = {t: (kept.probed(t, k) or kept._all(t).limit(0)).count() for t, k in keys.items()}
+        assert all(kept.segments[0][t]["bits"] for t in keys)
+    assert all(read[1000][t] <= 3 * max(64, read[100][t]) for t in ("keys", "bands")), read
+
+
 def test_copies_share_one_representative(spark, rows, repairer):
     text = "Компания готовит площадку под строительство школы, объём выпуска цемента в области составил больше, чем годом ранее, сообщили в ведомстве сегодня."
     # each of a source of its own: else the line would repeat excessively and go, as problem 1 has it
