@@ -1,9 +1,10 @@
 """Problem 1: lines repeated across one source's documents.
 
-Every source's lines become one sequence of identifiers. Its suffixes, compared by their first ``DEPTH`` lines, are
-sorted over the whole cluster: that is the source's suffix array. Neighbours that share a prefix form a run; a run that
-enough rows of the source take part in is a repeated block. The sort carries the row's number as its last key, so a line
-that stands in a third of all rows is split over many partitions, and runs are summed up from partial runs.
+Every source's lines become one sequence of identifiers. Its suffixes, each compared by its first 1, 2, 4, ... lines up to
+its row's end, are sorted over the whole cluster: that is the source's suffix array. Neighbours with a common prefix form a
+run; a run that enough rows of the source take part in is a repeated block. A block of any other length is two such blocks
+that overlap, so their lines are the lines of all repeated blocks. The sort carries the row's number as its last key, so a
+line that stands in a third of all rows is split over many partitions, and runs are summed up from partial runs.
 """
 
 from __future__ import annotations
@@ -20,13 +21,10 @@ from pyspark.sql import functions as F
 
 from feedmill.shared import small_side, unused, written
 
-#: Lines of a block that suffixes are compared by.
-DEPTH = 4
 #: A block is repeated excessively if it occurs in this share of its source's rows and in this many of them.
 MIN_SHARE, MIN_ROWS = 0.1, 6
 
 _IDS = "src long, item long, lines array<int>, ids array<long>"
-_SUFFIX = "src long, " + ", ".join(f"i{k} long" for k in range(DEPTH)) + ", item long, first int"
 _RUN = "src long, depth int, block long, rows long, i0 long"
 
 
@@ -73,73 +71,83 @@ def _mix(h: np.ndarray, x: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The suffixes of each row's lines; bit k of ``first`` says that their first k + 1 lines occur first here in the row."""
-    for batch in batches:
-        ids = batch.column("ids")
-        offsets = ids.offsets.to_numpy()
-        flat = ids.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        n = len(flat)
-        columns, first, prefix = [], np.zeros(n, np.int32), np.zeros(n, np.uint64)
-        for k in range(DEPTH):
-            at = np.full(n, 0, np.int64)
-            inside = np.zeros(n, bool)
-            if n > k:
-                inside[: n - k] = row[: n - k] == row[k:]
-                at[: n - k] = np.where(inside[: n - k], flat[k:], 0)
-            columns.append(at)
-            prefix = _mix(prefix + np.uint64(k + 1), at.view(np.uint64))
-            order = np.lexsort((np.arange(n), prefix, row))
-            new = np.ones(n, bool)
-            new[1:] = (row[order][1:] != row[order][:-1]) | (prefix[order][1:] != prefix[order][:-1])
-            first[order[new]] |= 1 << k
-            first[~inside] &= ~(1 << k)  # the row ends before so many lines
-        src, item = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("src", "item"))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (src, *columns, item, first)], names=["src", *(f"i{k}" for k in range(DEPTH)), "item", "first"])
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of neighbouring suffixes with a common prefix of 1 to ``DEPTH`` lines.
+def _suffixes(levels: int):
+    """The suffixes of each row's lines: column k stands for their first 2^k lines, 0 where the row ends before; bit k of
+    ``first`` says that these occur first here in the row."""
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            offsets = ids.offsets.to_numpy()
+            now = ids.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].view(np.uint64)
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+            n = len(now)
+            left = np.repeat(offsets[1:] - offsets[0], np.diff(offsets)) - np.arange(n)
+            columns, first = [now.view(np.int64)], np.zeros(n, np.int32)
+            for k in range(levels):
+                inside = left >= 1 << k
+                at = np.flatnonzero(inside)
+                order = at[np.lexsort((at, now[at], row[at]))]
+                new = np.ones(len(order), bool)
+                new[1:] = (row[order][1:] != row[order][:-1]) | (now[order][1:] != now[order][:-1])
+                first[order[new]] |= 1 << k
+                if k + 1 < levels:
+                    longer, at = np.zeros(n, np.uint64), np.flatnonzero(left >= 2 << k)
+                    longer[at] = _mix(now[at] + np.uint64(k + 1), now[at + (1 << k)]) | np.uint64(1)
+                    now = longer
+                    columns.append(now.view(np.int64))
+            src, item = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("src", "item"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (src, *columns, item, first)], names=["src", *(f"i{k}" for k in range(levels)), "item", "first"])
+
+    return suffixes
+
+
+def _runs(levels: int, min_rows: int):
+    """Runs of neighbouring suffixes with a common prefix of 1, 2, 4, ... lines.
 
     Runs inside a batch are whole and come out if enough rows take part; those at its ends may go on and always do.
     """
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        src, *ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("src", *(f"i{k}" for k in range(DEPTH))))
-        first = batch.column("first").to_numpy(zero_copy_only=False)
-        change = np.ones(n, bool)
-        change[1:] = src[1:] != src[:-1]
-        prefix = np.zeros(n, np.uint64)
-        out = []
-        for k in range(DEPTH):
-            change = change.copy()
-            change[1:] |= ids[k][1:] != ids[k][:-1]
-            prefix = _mix(prefix + np.uint64(k + 1), ids[k].view(np.uint64))
-            starts = np.flatnonzero(change)
-            rows = np.add.reduceat((first >> k & 1).astype(np.int64), starts)
-            keep = rows >= MIN_ROWS
-            keep[0] = keep[-1] = True
-            keep &= rows > 0
-            at = starts[keep]
-            out.append((src[at], np.full(len(at), k + 1, np.int32), prefix[at].view(np.int64), rows[keep], ids[0][at]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["src", "depth", "block", "rows", "i0"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            src, *ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("src", *(f"i{k}" for k in range(levels))))
+            first = batch.column("first").to_numpy(zero_copy_only=False)
+            change = np.ones(n, bool)
+            change[1:] = src[1:] != src[:-1]
+            out = []
+            for k in range(levels):
+                change = change.copy()
+                change[1:] |= ids[k][1:] != ids[k][:-1]
+                starts = np.flatnonzero(change)
+                rows = np.add.reduceat((first >> k & 1).astype(np.int64), starts)
+                keep = rows >= min_rows
+                keep[0] = keep[-1] = True
+                keep &= rows > 0
+                at = starts[keep]
+                out.append((src[at], np.full(len(at), 1 << k, np.int32), ids[k][at], rows[keep], ids[0][at]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["src", "depth", "block", "rows", "i0"])
+
+    return runs
 
 
 def repeated_blocks(df: DataFrame, source: str = "source", item: str = "item_no", text: str = "content_text", min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The blocks of 1 to ``DEPTH`` lines that occur in at least ``min_share`` of a source's rows and in ``min_rows``.
+    """The blocks of 1, 2, 4, ... lines that occur in at least ``min_share`` of a source's rows and in ``min_rows``.
 
     Returns (blocks, ids): blocks (src, depth, block, rows, source_rows, i0) and the written line identifiers of every
-    row (src, item, lines, ids). A row counts once for a block, however often the block occurs in it. Rows of a null
-    source form a source of their own; null texts and lines without letters are no part of any block but their rows
-    count. An empty table gives empty results.
+    row (src, item, lines, ids). Blocks are as long as rows go. A row counts once for a block, however often the block
+    occurs in it. Rows of a null source form a source of their own; null texts and lines without letters are no part of
+    any block but their rows count. An empty table gives empty results.
     """
     ids = written(_identified(df, source, item, text), "line-ids")
-    order = ["src", *(f"i{k}" for k in range(DEPTH)), "item"]
-    array = ids.mapInArrow(_suffixes, _SUFFIX).repartitionByRange(*order).sortWithinPartitions(*order)
-    runs = array.mapInArrow(_runs, _RUN).groupBy("src", "depth", "block").agg(F.sum("rows").alias("rows"), F.min("i0").alias("i0"))
+    longest = ids.agg(F.max(F.size("ids"))).first()[0] or 1
+    levels = int(longest).bit_length()
+    columns = [f"i{k}" for k in range(levels)]
+    order = ["src", *columns, "item"]
+    array = ids.mapInArrow(_suffixes(levels), f"src long, {', '.join(f'{c} long' for c in columns)}, item long, first int").repartitionByRange(*order).sortWithinPartitions(*order)
+    runs = array.mapInArrow(_runs(levels, min_rows), _RUN).groupBy("src", "depth", "block").agg(F.sum("rows").alias("rows"), F.min("i0").alias("i0"))
     sizes = df.groupBy(source_id(F.col(source)).alias("src")).agg(F.count(F.lit(1)).alias("source_rows"))
     blocks = runs.where(F.col("rows") >= min_rows).join(sizes, "src").where(F.col("rows") >= F.col("source_rows") * F.lit(min_share))
     return written(blocks.select("src", "depth", "block", "rows", "source_rows", "i0"), "blocks"), ids

@@ -38,7 +38,17 @@ def test_repeated_lines_as_a_plain_count_finds_them(spark, rows, seed):
 
 def test_blocks_of_several_lines(spark, rows):
     blocks, _ = repeats.repeated_blocks(rows(*["начало\nпервая\nвторая\nтретья" + "абвгдежз"[k] for k in range(8)]))
-    assert sorted((r.depth, r.rows) for r in blocks.collect()) == [(1, 8)] * 3 + [(2, 8)] * 2 + [(3, 8)]
+    assert sorted((r.depth, r.rows) for r in blocks.collect()) == [(1, 8)] * 3 + [(2, 8)] * 2
+    # as long as rows go, and each counted once a row
+    footer = "\n".join(f"строка {'абвгдежзик'[k]}" for k in range(10))
+    blocks, _ = repeats.repeated_blocks(rows(*[f"{'абвгдежз'[k]}\n{footer}\n{footer}" for k in range(8)]))
+    assert sorted({(r.depth, r.rows) for r in blocks.collect()}) == [(1, 8), (2, 8), (4, 8), (8, 8), (16, 8)]
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_any_number_of_rows_may_be_enough(spark, rows, least):
+    df = rows("a\nb", "b\nc", "c\nb", "d")
+    assert found(repeats.repeated_lines(df, min_share=0.0, min_rows=least)) == ([(0, 2), (1, 1), (2, 2)] if least == 3 else [(0, 1), (0, 2), (1, 1), (1, 2), (2, 1), (2, 2), (3, 1)])
 
 
 def test_repeats_of_nothing(spark, rows):
