@@ -1,11 +1,12 @@
 """Problem 9: mixing sources to target weights.
 
-Hierarchical budgeting: the total is handed down a tree of groups and sources by weight. What a node cannot take (all its
-documents, each used as often as its source allows) goes to its siblings by weight, and to the parent's siblings only when
-these are full. A source's budget is spent in epochs: whole passes over its documents, then a prefix, by tokens, of one
-more pass in an order that a seeded hash gives.
+Hierarchical budgeting: the total is handed down a tree of domains, languages and sources by weight. A source's weight is
+spread over the languages of its documents by their tokens, so every document counts under its own language. What a node
+cannot take (all its documents, each used as often as its source allows) goes to its siblings by weight, and to the
+parent's siblings only when these are full. A leaf's budget is spent in epochs: whole passes over its documents, then a
+prefix, by tokens, of one more pass in an order that a seeded hash gives.
 
-A source may hold any share of the rows: its prefix is found from the token sums of hash ranges, and only the range in
+A leaf may hold any share of the rows: its prefix is found from the token sums of hash ranges, and only the range in
 which it ends is put in order.
 """
 
@@ -14,14 +15,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.shared import small_side, written
 
-#: Documents of a hash range, about; bits that name a range, at most; targets that a mixture may list.
-RANGE_ITEMS, MOST_BITS, MOST_TARGETS = 1000, 24, 100_000
+#: Documents of a hash range, about; bits that name a range, at most; leaves that the tree may have.
+RANGE_ITEMS, MOST_BITS, MOST_LEAVES = 1000, 24, 100_000
 
 
 @dataclass
@@ -68,82 +68,84 @@ class Node:
         for c in self.children.values():
             c.share(given[id(c)])
 
-    def leaves(self) -> dict[str, float]:
-        if not self.children:
-            return {self.name: self.budget}
-        return {k: v for c in self.children.values() for k, v in c.leaves().items()}
+    def leaves(self, path: tuple[str, ...] = ()) -> dict[tuple, float]:
+        """The budget of each leaf, by the groups above it and its name."""
+        out: dict[tuple, float] = {}
+        for key, child in self.children.items():
+            out |= child.leaves((*path, key)) if child.children else {(path, child.name): child.budget}
+        return out
 
 
-def budgets(leaves: list[tuple[tuple[str, ...], str, float, int, int]], total: float | None = None) -> dict[str, float]:
-    """Tokens of each source. ``leaves`` has (groups above, source, weight, available tokens, most uses).
+def budgets(leaves: list[tuple[tuple[str, ...], str, float, int, int]], total: float | None = None) -> dict[tuple, float]:
+    """Tokens of each leaf, by its path and name. ``leaves`` has (groups above, source, weight, available tokens, most uses).
 
-    Without ``total``, the mixture is as large as the listed sources are together.
+    Without ``total``, the mixture is as large as it can be with every source that has documents at its target.
     """
     root = Node("")
-    for path, name, weight, available, uses in leaves:
-        root.add(path, name, max(0.0, weight or 0.0), float(available) * max(0, uses or 0))
-    root.share(float(sum(x[3] for x in leaves)) if total is None else float(total))
-    return {x[1]: 0.0 for x in leaves} | (root.leaves() if root.children else {})
-
-
-def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The documents of a source's last hash range that fill the gap: in hash order, those that fit what is left of it;
-    and then the one that comes closest to the gap, if it comes closer than none."""
-    pdf = pdf.sort_values(["h", "item"])
-    left, chosen, passed = float(pdf["gap"].iloc[0]), [], []
-    for i, n in enumerate(pdf["n"]):
-        if n <= left:
-            left -= n
-            chosen.append(i)
-        else:
-            passed.append((n, i))
-    if passed and (least := min(passed))[0] - left < left:
-        chosen.append(least[1])
-    return pdf.iloc[sorted(chosen)][["source", "item", "n", "whole"]]
+    leaves = [(path, name, max(0.0, weight or 0.0), float(available) * max(0, uses or 0)) for path, name, weight, available, uses in leaves]
+    for leaf in leaves:
+        root.add(*leaf)
+    if total is None:
+        weights = sum(w for _, _, w, c in leaves if c > 0)
+        total = min((c / w for _, _, w, c in leaves if w > 0 and c > 0), default=0.0) * weights
+    root.share(float(total))
+    return {(path, name): 0.0 for path, name, _, _ in leaves} | (root.leaves() if root.children else {})
 
 
 def mixture(sizes: DataFrame, targets: DataFrame, groups: tuple[str, ...] = ("lang",), item: str = "doc_id", source: str = "source", size: str = "n_tokens", total: float | None = None, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """A mixture of the documents that ``targets`` (source, target_share, max_repeats) asks for, and its shares.
 
+    ``groups`` are the columns of the tree's levels above the sources. ``total`` is the mixture's size in tokens; without
+    one it is as large as it can be with every source that has documents at its target.
     Returns (uses, shares). uses has (source, item, epoch, n_tokens): one row for each time a document is used, at most
     ``max_repeats`` times. shares has (source, target_share, available_tokens, budget_tokens, mixed_tokens, actual_share,
     documents, most_uses): one row for each target, those without documents, too. Documents without tokens, without
-    source or of a source that is not listed are not used; a null share counts as 0, a null number of repeats as 1. The
-    groups of a source are those that most of its tokens belong to.
+    source or of a source that is not listed are not used; a null share counts as 0, a null number of repeats as 1. Null
+    groups are a group of their own.
     """
-    rows = written(sizes.where((F.col(size) > 0) & F.col(source).isNotNull()).select(F.col(source).alias("source"), F.col(item).cast("long").alias("item"), F.col(size).cast("long").alias("n"), *[F.coalesce(F.col(g).cast("string"), F.lit("")).alias(f"_g{k}") for k, g in enumerate(groups)]), "sizes")
+    levels = [f"_g{k}" for k in range(len(groups))]
+    rows = written(sizes.where((F.col(size) > 0) & F.col(source).isNotNull()).select(F.col(source).alias("source"), F.col(item).cast("long").alias("item"), F.col(size).cast("long").alias("n"), *[F.coalesce(F.col(g).cast("string"), F.lit("")).alias(k) for g, k in zip(groups, levels)]), "sizes")
     wanted = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.coalesce(F.max("max_repeats"), F.lit(1)).alias("max_repeats"))
-    by_group = rows.groupBy("source", *[f"_g{k}" for k in range(len(groups))]).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("items"))
-    held = by_group.groupBy("source").agg(F.sum("n").alias("available"), F.sum("items").alias("items"), F.max_by(F.array(*[f"_g{k}" for k in range(len(groups))]), "n").alias("path"))
-    # the leaves of the tree are the targets: a table of fixed size, checked
-    leaves = wanted.join(held, "source", "left").limit(MOST_TARGETS + 1).collect()
-    if len(leaves) > MOST_TARGETS:
-        raise ValueError(f"more than {MOST_TARGETS} targets")
-    plan = budgets([(tuple(x["path"] or [""] * len(groups)), x["source"], x["target_share"] or 0.0, x["available"] or 0, x["max_repeats"]) for x in leaves], total)
-    spark = sizes.sparkSession
+    held = rows.groupBy("source", *levels).agg(F.sum("n").alias("available"), F.count(F.lit(1)).alias("items"))
+    # the leaves of the tree are the targets by group: a table of bounded size, checked
+    leaves = wanted.join(held, "source", "left").limit(MOST_LEAVES + 1).collect()
+    if len(leaves) > MOST_LEAVES:
+        raise ValueError(f"more than {MOST_LEAVES} leaves")
+    has: dict[str, int] = {}
+    for x in leaves:
+        has[x["source"]] = has.get(x["source"], 0) + (x["available"] or 0)
+    path = lambda x: tuple(x[k] or "" for k in levels)
+    plan = budgets([(path(x), x["source"], (x["target_share"] or 0.0) * (x["available"] or 0) / (has[x["source"]] or 1), x["available"] or 0, x["max_repeats"]) for x in leaves], total)
     passes = []
     for x in leaves:
-        budget, available = plan[x["source"]], x["available"] or 0
-        whole = min(int(budget // available), x["max_repeats"]) if available else 0
-        rest = 0.0 if not available or whole >= x["max_repeats"] else budget - whole * available
-        passes.append((x["source"], x["target_share"], available, float(budget), whole, float(rest), min(MOST_BITS, int(math.log2(max(1, (x["items"] or 1) / RANGE_ITEMS))))))
-    schema = "source string, target_share double, available long, budget double, whole int, rest double, bits int"
+        budget, available = plan[path(x), x["source"]], x["available"] or 0
+        # sums of shares may miss a whole pass by a rounding error
+        whole = min(int(budget / available + 1e-9), x["max_repeats"]) if available else 0
+        rest = 0.0 if not available or whole >= x["max_repeats"] else max(0.0, budget - whole * available)
+        passes.append((x["source"], *path(x), x["target_share"], available, float(budget), whole, float(rest), min(MOST_BITS, int(math.log2(max(1, (x["items"] or 1) / RANGE_ITEMS))))))
+    leaf = ["source", *levels]
+    schema = f"source string, {''.join(f'{k} string, ' for k in levels)}target_share double, available long, budget double, whole int, rest double, bits int"
+    spark = sizes.sparkSession
     planned = F.broadcast(spark.createDataFrame(passes, schema))
     # the last, partial pass: hash ranges before the one in which the prefix ends belong to it as a whole
-    hashed = rows.join(planned.select("source", "whole", "rest", "bits"), "source").withColumn("h", F.xxhash64(F.lit(seed), F.col("whole") + 1, F.col("item")))
+    hashed = rows.join(planned.select(*leaf, "whole", "rest", "bits"), leaf).withColumn("h", F.xxhash64(F.lit(seed), F.col("whole") + 1, F.col("item")))
     ranged = hashed.withColumn("range", F.when(F.col("bits") > 0, F.expr("shiftrightunsigned(h, 64 - bits)")).otherwise(F.lit(0)).cast("int"))
-    sums = ranged.where("rest > 0").groupBy("source", "range").agg(F.sum("n").alias("t"))
-    before = written(sums.select("source", "range", "t", (F.sum("t").over(Window.partitionBy("source").orderBy("range")) - F.col("t")).alias("before")), "ranges")
-    placed = ranged.join(small_side(before, 1_000_000), ["source", "range"])
-    inside = placed.where("before + t <= rest").select("source", "item", "n", "whole")
-    ends = placed.where("before <= rest and before + t > rest").select("source", "item", "n", "whole", "h", (F.col("rest") - F.col("before")).alias("gap"))
-    ending = ends.groupBy("source").applyInPandas(_fill, "source string, item long, n long, whole int")
-    partial = inside.unionByName(ending).select("source", "item", (F.col("whole") + 1).alias("epoch"), "n")
+    # hashes are ordered as unsigned numbers, as ranges are
+    ranged = ranged.withColumn("h", F.col("h").bitwiseXOR(F.lit(-(2**63)))).where("rest > 0")
+    sums = ranged.groupBy(*leaf, "range").agg(F.sum("n").alias("t"))
+    before = written(sums.select(*leaf, "range", "t", (F.sum("t").over(Window.partitionBy(*leaf).orderBy("range")) - F.col("t")).alias("before")), "ranges")
+    placed = ranged.join(small_side(before, 1_000_000), [*leaf, "range"])
+    inside = placed.where("before + t <= rest")
+    # a prefix: it ends where it comes closest to what is left
+    upto = F.sum("n").over(Window.partitionBy(*leaf).orderBy("h", "item").rowsBetween(Window.unboundedPreceding, 0))
+    ending = placed.where("before <= rest and before + t > rest").withColumn("upto", F.col("before") + upto).where("upto <= rest or upto - rest < rest - (upto - n)")
+    partial = inside.select("source", "item", (F.col("whole") + 1).alias("epoch"), "n").unionByName(ending.select("source", "item", (F.col("whole") + 1).alias("epoch"), "n"))
     full = hashed.where("whole > 0").select("source", "item", F.explode(F.sequence(F.lit(1), F.col("whole"))).alias("epoch"), "n")
     uses = written(full.unionByName(partial), "uses")
     got = uses.groupBy("source").agg(F.sum("n").alias("mixed_tokens"), F.max("epoch").alias("most_uses"), F.count_if(F.col("epoch") == 1).alias("documents"))
     everything = uses.agg(F.sum("n").alias("all"))
-    shares = planned.join(got, "source", "left").crossJoin(F.broadcast(everything)).select(
+    asked = planned.groupBy("source").agg(F.max("target_share").alias("target_share"), F.sum("available").alias("available"), F.sum("budget").alias("budget"))
+    shares = asked.join(got, "source", "left").crossJoin(F.broadcast(everything)).select(
         "source",
         "target_share",
         F.col("available").alias("available_tokens"),

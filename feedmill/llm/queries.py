@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import cleaning, encoding, history, mainbody, mixture, packing, pieces, repeats, spelling, tokens
-from feedmill.shared import tables
+from feedmill.shared import tables, written
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,9 +94,17 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins.join(limits, "limit_name").select("limit_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"))
 
 
-def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents, targets = tables(spark, sf_dir, "documents", "mix_targets")
-    return mixture.mixture(tokens.sized(documents, keep=("source", "lang")), targets)
+def _mixed(spark: SparkSession, sf_dir: str, everything: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The mixture; ``everything`` asks for as many tokens as the listed sources have together, more than some can give."""
+    documents, targets, sources = tables(spark, sf_dir, "documents", "mix_targets", "sources")
+    # a source's domain is its host's last label; the catalogue is a table of fixed size
+    domains = sources.groupBy(F.col("name").alias("source")).agg(F.max(F.regexp_extract("base_url", r"^[a-z]+://[^/:?#]*?([^./:?#]+)(?:[:/?#]|$)", 1)).alias("domain"))
+    sizes = tokens.sized(documents, keep=("source", "lang")).join(F.broadcast(domains), "source", "left")
+    total = None
+    if everything:
+        sizes = written(sizes, "sizes")
+        total = sizes.join(targets.select("source").distinct(), "source", "left_semi").agg(F.sum("n_tokens")).first()[0] or 0
+    return mixture.mixture(sizes, targets, ("domain", "lang"), total=total)
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +115,13 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir)[1]
 
 
+def p9_shares_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir, everything=True)[1]
+
+
 def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
     return pieces.split(documents, _limits(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p1_blocks": p1_blocks, "p2_found": p2_found, "p2_pages": p2_pages, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p6_normalised": p6_normalised, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_blocks": p1_blocks, "p2_found": p2_found, "p2_pages": p2_pages, "p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p6_normalised": p6_normalised, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_pieces": p10_pieces}

@@ -49,29 +49,46 @@ def test_packing_a_table(spark):
 
 
 def test_budgets_go_to_siblings_first():
-    leaves = [(("ru",), "a", 0.4, 100, 1), (("ru",), "b", 0.2, 1000, 1), (("en",), "c", 0.4, 1000, 2)]
+    leaves = [(("x", "ru"), "a", 0.4, 100, 1), (("x", "ru"), "b", 0.2, 1000, 1), (("x", "en"), "c", 0.4, 1000, 2)]
+    got = {k[1]: v for k, v in mixture.budgets(leaves, 1000).items()}
+    assert got == {"a": pytest.approx(100), "b": pytest.approx(500), "c": pytest.approx(400)}
+    # the language is full: what it can't take goes to its siblings in the domain before other domains
+    leaves = [(("x", "ru"), "a", 0.2, 100, 1), (("x", "ru"), "b", 0.2, 100, 1), (("x", "en"), "c", 0.2, 1000, 2), (("y", "ru"), "a", 0.4, 1000, 1)]
     got = mixture.budgets(leaves, 1000)
-    assert got["a"] == pytest.approx(100) and got["b"] == pytest.approx(500) and got["c"] == pytest.approx(400)
-    # the group is full: what it can't take goes to the other
-    got = mixture.budgets([(("ru",), "a", 0.4, 100, 1), (("ru",), "b", 0.2, 200, 1), (("en",), "c", 0.4, 1000, 2)], 1000)
-    assert (got["a"], got["b"], got["c"]) == (pytest.approx(100), pytest.approx(200), pytest.approx(700))
-    assert mixture.budgets([(("x",), "a", 0.0, 10, 1)], 100) == {"a": 0.0} and mixture.budgets([], 10) == {}
+    assert got == {(("x", "ru"), "a"): pytest.approx(100), (("x", "ru"), "b"): pytest.approx(100), (("x", "en"), "c"): pytest.approx(400), (("y", "ru"), "a"): pytest.approx(400)}
+    assert mixture.budgets([(("x",), "a", 0.0, 10, 1)], 100) == {(("x",), "a"): 0.0} and mixture.budgets([], 10) == {}
+    # without a total: as large as every target can be met
+    got = mixture.budgets([((), "a", 0.5, 100, 2), ((), "b", 0.3, 1000, 1), ((), "none", 0.2, 0, 4)])
+    assert got == {((), "a"): pytest.approx(200), ((), "b"): pytest.approx(120), ((), "none"): 0.0}
 
 
 def test_mixture(spark):
     rng = random.Random(1)
-    docs = [(k, rng.choice(["a", "a", "a", "b"]), "ru", rng.randint(1, 50)) for k in range(4000)] + [(9000, "c", "en", 40), (9001, "c", None, 60), (9002, None, "ru", 5), (9003, "a", "ru", 0), (9004, "z", "ru", 5)]
+    docs = [(k, rng.choice(["a", "a", "a", "b"]), rng.choice(["ru", "en"]), rng.randint(1, 50)) for k in range(4000)] + [(9000, "c", "en", 40), (9001, "c", None, 60), (9002, None, "ru", 5), (9003, "a", "ru", 0), (9004, "z", "ru", 5)]
     sizes = spark.createDataFrame(docs, "doc_id long, source string, lang string, n_tokens long")
     targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.5, 3), ("c", 0.2, 4), ("none", None, None)], "source string, target_share double, max_repeats int")
-    uses, shares = mixture.mixture(sizes, targets)
-    rows, table = uses.collect(), {r.source: r for r in shares.collect()}
-    assert len({(r.doc_id, r.epoch) for r in rows}) == len(rows) and {r.source for r in rows} == {"a", "b", "c"}
-    for name, most in (("a", 1), ("b", 3), ("c", 4)):
-        mine = [r for r in rows if r.source == name]
-        assert max(r.epoch for r in mine) <= most and abs(sum(r.n_tokens for r in mine) - table[name].budget_tokens) <= 50
-        assert table[name].mixed_tokens == sum(r.n_tokens for r in mine)
-    assert table["none"].actual_share == 0.0 and sum(r.actual_share for r in table.values()) == pytest.approx(1)
-    assert table["c"].mixed_tokens == 400 and sorted(map(tuple, mixture.mixture(sizes, targets)[0].collect())) == sorted(map(tuple, rows))
+    whole = sum(n for _, s, _, n in docs if s in ("a", "b", "c"))
+    for total in (None, whole):
+        uses, shares = mixture.mixture(sizes, targets, total=total)
+        rows, table = uses.collect(), {r.source: r for r in shares.collect()}
+        assert len({(r.doc_id, r.epoch) for r in rows}) == len(rows) and {r.source for r in rows} == {"a", "b", "c"}
+        of = {k: (s, lang) for k, s, lang, _ in docs}
+        for name, most in (("a", 1), ("b", 3), ("c", 4)):
+            mine = [r for r in rows if r.source == name]
+            assert max(r.epoch for r in mine) <= most and abs(sum(r.n_tokens for r in mine) - table[name].budget_tokens) <= 2 * 25 + 1
+            assert table[name].mixed_tokens == sum(r.n_tokens for r in mine)
+        assert table["none"].actual_share == 0.0 and sum(r.actual_share for r in table.values()) == pytest.approx(1)
+        if total is None:
+            assert table["c"].mixed_tokens == 400 and all(abs(table[k].actual_share - table[k].target_share) < 0.03 for k in "abc")
+        else:
+            assert table["c"].mixed_tokens == 400 and table["a"].mixed_tokens > 0.3 * total
+        assert sorted(map(tuple, mixture.mixture(sizes, targets, total=total)[0].collect())) == sorted(map(tuple, rows))
+    # the last epoch of a leaf is a prefix of its order: nothing that was passed over comes before what was taken
+    order = {r.doc_id: r.h for r in sizes.select("doc_id", F.xxhash64(F.lit(17), F.lit(1), F.col("doc_id")).alias("h")).collect()}
+    for lang in ("ru", "en"):
+        taken = {order[r.doc_id] % 2**64 for r in rows if of[r.doc_id] == ("a", lang) and r.epoch == 1}
+        left = {order[k] % 2**64 for k, s, g, n in docs if (s, g) == ("a", lang) and n} - taken
+        assert not left or max(taken) < min(left)
     empty, none = mixture.mixture(sizes.limit(0), targets)
     assert empty.count() == 0 and all(r.actual_share == 0.0 for r in none.collect())
 
