@@ -157,15 +157,22 @@ def estimated_zones(df: DataFrame, source: str = "source", value: str = "date_pu
 
     Local times without a zone are put on each candidate's clock. A time after its own ingestion is a violation; the zone
     with the fewest wins, and among these the one under which times lie closest before ingestion (the lag that a tenth of
-    the rows stay below), then the earlier candidate. Sources without such times are absent.
+    the rows stay below). Zones that are alike in this, as some have one clock for years, are told apart by the names that
+    the source's other values give their zone; then the home zone comes first, then the earlier candidate. Sources without
+    times that name no zone are absent. All candidates are weighed in one aggregation over the rows as they are.
     """
     rows = df.where(F.col(value).isNotNull() & F.col(read_at).isNotNull() & ~tidy(F.col(value)).rlike(_RELATIVE)).select(F.col(source).alias("_source"), F.col(value).alias("_value"), F.unix_seconds(F.col(read_at).cast("timestamp")).alias("_read"))
-    local = rows.select("_source", "_read", parts(F.col("_value"), _utc(F.col("_read")), F.lit("UTC")).alias("_p")).select("_source", "_read", F.when(F.col("_p.offset").isNull() & ~F.col("_p.moscow"), F.col("_p.local")).alias("_local"))
-    local = local.where(F.col("_local").isNotNull() & (F.date_format("_local", "HHmmss") != "000000"))
-    tried = local.select("_source", "_read", "_local", F.posexplode(F.array(*map(F.lit, candidates))).alias("_rank", "_zone"))
-    lag = F.col("_read") - seconds_of(to_utc(F.col("_local"), F.col("_zone")))
-    score = tried.withColumn("_lag", lag).groupBy("_source", "_rank", "_zone").agg(F.count_if(F.col("_lag") < 0).alias("bad"), F.percentile_approx(F.when(F.col("_lag") >= 0, F.col("_lag")), 0.1, 1000).alias("tight"))
-    return score.groupBy("_source").agg(F.min_by("_zone", F.struct("bad", F.coalesce("tight", F.lit(1 << 60)).alias("t"), "_rank")).alias("estimated_zone")).withColumnRenamed("_source", source)
+    rows = rows.select("_source", "_read", F.regexp_extract("_value", r"\[([A-Za-z]+/[A-Za-z_/]+)\]", 1).alias("_named"), parts(F.col("_value"), _utc(F.col("_read")), F.lit("UTC")).alias("_p"))
+    # days without a time say nothing of the hour
+    own = F.when(F.col("_p.offset").isNull() & ~F.col("_p.moscow") & (F.date_format("_p.local", "HHmmss") != "000000"), F.col("_p.local"))
+    rows = rows.select("_source", "_read", "_named", own.alias("_local")).where("_local is not null or _named <> ''")
+    lag = lambda z: F.col("_read") - seconds_of(to_utc(F.col("_local"), F.lit(z)))
+    weighed = []
+    for k, z in enumerate(candidates):
+        weighed += [F.count_if(lag(z) < 0).alias(f"bad{k}"), F.percentile_approx(F.when(lag(z) >= 0, lag(z)), 0.1, 1000).alias(f"tight{k}"), F.count_if(F.col("_named") == z).alias(f"named{k}")]
+    score = rows.groupBy("_source").agg(F.count("_local").alias("n"), *weighed).where("n > 0")
+    scores = [F.struct(F.col(f"bad{k}").alias("bad"), F.coalesce(f"tight{k}", F.lit(1 << 60)).alias("tight"), (-F.col(f"named{k}")).alias("named"), F.lit(int(z != HOME_ZONE)).alias("home"), F.lit(k).alias("rank"), F.lit(z).alias("zone")) for k, z in enumerate(candidates)]
+    return score.select(F.col("_source").alias(source), F.array_min(F.array(*scores))["zone"].alias("estimated_zone"))
 
 
 def instants(df: DataFrame, sources: DataFrame, source: str = "source", value: str = "date_published", read_at: str = "fetched_at", name: str = "name", zone: str = "time_zone") -> DataFrame:

@@ -54,6 +54,12 @@ def p5_zones(spark, d):
     return instants.estimated_zones(tables(spark, d, "unified")[0])
 
 
+def p5_unzoned(spark, d):
+    """The rows of p5_found as they come out where no source's zone is known."""
+    items, sources = tables(spark, d, "unified", "sources")
+    return instants.to_normalise(items, sources.withColumn("time_zone", F.lit(None).cast("string")))
+
+
 def url_parts(spark, d):
     return unified(spark, d).select("item_no", *[urls.part(F.col("url"), n).alias(c) for n, c in enumerate(("scheme", "host", "path", "query", "fragment"), 1)])
 
@@ -338,7 +344,7 @@ def stream_feed(spark, d):
 
 
 _NAMES = """
-p5_found p5_zones url_parts url_segments query_pairs url_listing_rule url_listing_filter cache_key amp_url url_joined normalize_ws word_count min_words_filter drop_leading_title needs_fallback dates_read ru_date_dotted
+p5_found p5_zones p5_unzoned url_parts url_segments query_pairs url_listing_rule url_listing_filter cache_key amp_url url_joined normalize_ws word_count min_words_filter drop_leading_title needs_fallback dates_read ru_date_dotted
 ru_date_words url_date home_time page_title page_content fragment_text page_links link_reasons article_links new_links seen_window missing_sources request_strategies first_seen_fill first_seen_after index_changed
 cooldown_routes pages_served feed_dedup feed_built feed_skip_keywords feed_merged feed_top feed_metrics regression_gate source_summary api_entries api_links json_feed_roundtrip attempts_once retry_outcomes
 last_metric_per_host consecutive_failures failure_islands warmup_outcomes backoff_waits cookie_names stream_new_addresses stream_first_seen stream_feed flagship

@@ -67,3 +67,10 @@ def test_zones_are_estimated_from_ingestion(spark):
     nowhere = spark.createDataFrame([("a", None), ("b", None)], "name string, time_zone string")
     first = instants.instants(df.where("source = 'a'"), nowhere).select(F.min("utc_second")).first()[0]
     assert first == 1_700_000_000
+
+
+def test_zones_with_one_clock_for_years_are_told_apart(spark):
+    """Moscow and Minsk differ before the end of 2014 only: a name decides, and without one the home zone."""
+    times = [(s, f"2024-0{k % 9 + 1}-01 12:0{k % 9}:00", f"2024-0{k % 9 + 1}-01 09:30:00") for k in range(30) for s in ("named", "plain")]
+    df = spark.createDataFrame([*times, ("named", "2024-03-01T12:00:00+03:00[Europe/Minsk]", "2024-03-01 10:00:00"), ("daily", "01.03.2024", "2024-03-01 10:00:00")], "source string, date_published string, at string").withColumn("fetched_at", F.col("at").cast("timestamp"))
+    assert {r.source: r.estimated_zone for r in instants.estimated_zones(df).collect()} == {"named": "Europe/Minsk", "plain": "Europe/Moscow"}
