@@ -146,12 +146,17 @@ def prepared(df: DataFrame, repairer: Repairer, batches: list[Column], item: str
 
 
 def keyed(texts: list[list[str]]) -> list[pa.Array]:
-    """Text keys, signatures and band keys of texts as lists of words; nulls for those without words."""
+    """Text keys, signatures and band keys of texts as lists of words; nulls for those without words.
+
+    A signature has 32 bits of each shingle's hash: of two articles of n shingles n^2 / 2^32 agree by chance, one in 10^5
+    for articles of 200 words.
+    """
     flat, starts = shingles(texts)
+    small = (flat >> np.uint64(32)).astype(np.uint32)
     bands = iter(band_keys(flat, starts).tolist())
     return [
         pa.array([xxhash.xxh3_128_hexdigest(" ".join(t)) if t else None for t in texts], pa.string()),
-        pa.array([np.unique(flat[a:b]).tobytes() if b > a else None for a, b in zip(starts[:-1], starts[1:])], pa.binary()),
+        pa.array([np.unique(small[a:b]).tobytes() if b > a else None for a, b in zip(starts[:-1], starts[1:])], pa.binary()),
         pa.array([next(bands) if t else None for t in texts], pa.list_(pa.int64())),
     ]
 
@@ -164,7 +169,7 @@ def compared(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for x, y in zip(batch.column("a_s").to_pylist(), batch.column("b_s").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 found.append(shared / (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
@@ -178,8 +183,12 @@ def classes(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until the edges are stars; each step's edges are checkpointed. Nodes
     without edges are absent.
     """
+    def told(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
+    was, after = told(now), now
+    while was[0]:
         # large star: every larger neighbour of u links to u's least neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -188,9 +197,9 @@ def classes(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
         after = cut(small)
-        if after.join(now, ["u", "v"], "left_anti").limit(1).count() == 0 and now.join(after, ["u", "v"], "left_anti").limit(1).count() == 0:
+        if (found := told(after)) == was:
             break
-        now = after
+        now, was = after, found
     stars = after.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct())
 
@@ -247,7 +256,7 @@ class History:
         now = nodes.select("node", F.col("node").alias("root"))
         while (held := self.probed("parents", now.select(F.col("root").alias("node")))) is not None:
             up = held.select(F.col("node").alias("root"), "parent")
-            after = written(now.join(up, "root", "left").select("node", F.coalesce("parent", "root").alias("root"), F.col("parent").isNotNull().alias("moved")), "roots")
+            after = self._written(now.join(up, "root", "left").select("node", F.coalesce("parent", "root").alias("root"), F.col("parent").isNotNull().alias("moved")), "roots")
             now = after.select("node", "root")
             if not after.where("moved").limit(1).count():
                 break
@@ -262,26 +271,34 @@ class History:
             return
         name = f"segment-{len(self.segments):09d}-{uuid.uuid4().hex}"
         folder = f"{self.path}/{name}"
-        rows = written(arriving, "arriving")
+        try:
+            self._commit(self._segment(arriving, name, batch, folder))
+        finally:
+            self._files.delete(self._at(f"{folder}-work"), True)
+
+    def _segment(self, arriving: DataFrame, name: str, batch: str | None, folder: str) -> dict:
+        """Writes a batch's segment; tables that only this takes lie in a folder beside it."""
+        self._work = f"{folder}-work"
+        rows = self._written(arriving, "arriving")
         segment: dict = {"folder": name, "batch": batch}
         # keys: links to the earliest row that has one; those nobody had before are new
         kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("page", "text_key")])).alias("x")
         seen = rows.select("item", kinds).select("item", "x.*").where("key is not null")
-        firsts = written(seen.groupBy("kind", "key").agg(F.min("item").alias("first")), "firsts")
+        firsts = self._written(seen.groupBy("kind", "key").agg(F.min("item").alias("first")), "firsts")
         old = self.probed("keys", firsts)
-        known = firsts.withColumn("old", F.lit(None).cast("long")) if old is None else written(firsts.join(old.select("kind", "key", F.col("first").alias("old")), ["kind", "key"], "left"), "known")
+        known = firsts.withColumn("old", F.lit(None).cast("long")) if old is None else self._written(firsts.join(old.select("kind", "key", F.col("first").alias("old")), ["kind", "key"], "left"), "known")
         links = seen.join(known, ["kind", "key"]).select(F.coalesce("old", "first").alias("a"), F.col("item").alias("b"))
         fresh = known.where("old is null")
         counts = {r[0]: r[1] for r in fresh.groupBy("kind").count().collect()}
         segment["keys"] = self._put(fresh.select("kind", "key", "first"), "keys", folder, sum(counts.values()))
         # texts that no row had before, each with the row that stands for it
-        texts = rows.join(small_side(written(fresh.where("kind = 'text_key'").select(F.col("first").alias("item")), "fresh"), FEW), "item", "left_semi")
+        texts = rows.join(small_side(self._written(fresh.where("kind = 'text_key'").select(F.col("first").alias("item")), "fresh"), FEW), "item", "left_semi")
         n = counts.get("text_key", 0)
         segment["bands"] = self._put(texts.select(F.explode("bands").alias("key"), F.col("item").alias("rep")), "bands", folder, n * BANDS)
         segment["signatures"] = self._put(texts.select(F.col("item").alias("rep"), "signature"), "signatures", folder, n)
         alike = self._alike(segment) if n else None
         # links between rows lead to links between first rows as they are now; these are joined anew
-        links = written((links if alike is None else links.unionByName(alike)).where("a <> b").distinct(), "links")
+        links = self._written((links if alike is None else links.unionByName(alike)).where("a <> b").distinct(), "links")
         nodes = self.roots(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         ends = (nodes.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
         for end in ends:
@@ -289,7 +306,12 @@ class History:
         found = classes(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
         parents = cut(found.where("node <> label").select("node", F.col("label").alias("parent")))
         segment["parents"] = self._put(parents, "parents", folder, parents.count())
-        self._commit(segment)
+        return segment
+
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self._work}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def _alike(self, segment: dict) -> DataFrame:
         """Pairs (a, b) of like articles of which at least one is in the new segment."""
@@ -301,24 +323,24 @@ class History:
         if old is not None:
             everything = everything.unionByName(old.join(new.select("key").distinct(), "key", "left_semi").withColumn("new", F.lit(False)))
         # one member a bucket that all others are verified against
-        firsts = written(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.max("new").alias("new")).where("a <> z and new").select("key", "a"), "pivots")
-        members = written(everything.join(small_side(firsts, FEW), "key").select("key", "a", F.col("rep").alias("b")), "members")
-        ids = written(members.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
+        firsts = self._written(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.max("new").alias("new")).where("a <> z and new").select("key", "a"), "pivots")
+        members = self._written(everything.join(small_side(firsts, FEW), "key").select("key", "a", F.col("rep").alias("b")), "members")
+        ids = self._written(members.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
         held = self.probed("signatures", ids)
         signatures = mine._all("signatures") if held is None else mine._all("signatures").unionByName(held)
         signatures = signatures.join(small_side(ids, FEW), "rep", "left_semi")
-        stars = written(compared(members.where("a <> b").select("a", "b").distinct(), signatures), "stars")
+        stars = self._written(compared(members.where("a <> b").select("a", "b").distinct(), signatures), "stars")
         like = F.col("similarity") >= SIMILARITY - 1e-9
         labels = cut(classes(stars.where(like).select("a", "b")))
         # members whose class differs from another member's of the bucket are compared if their distances to its first allow it
         of = members.join(small_side(labels.withColumnRenamed("node", "b"), FEW), "b", "left").join(stars, ["a", "b"], "left")
         of = of.select("key", "b", F.coalesce("label", "b").alias("label"), (1 - F.coalesce("similarity", F.lit(1.0))).alias("far"))
         apart = of.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y and n > 2").select("key")
-        mixed = written(of.join(apart, "key"), "mixed")
+        mixed = self._written(of.join(apart, "key"), "mixed")
         near = F.abs(F.col("l.far") - F.col("r.far")) <= 1 - SIMILARITY + 1e-9
         across = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.b") < F.col("r.b")) & (F.col("l.label") != F.col("r.label")) & near)
         across = across.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-        return stars.where(like).select("a", "b").unionByName(compared(written(across, "across"), signatures).where(like).select("a", "b"))
+        return stars.where(like).select("a", "b").unionByName(compared(self._written(across, "across"), signatures).where(like).select("a", "b"))
 
     def _all(self, table: str) -> DataFrame:
         """A table of all segments."""
