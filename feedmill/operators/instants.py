@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions.base import let, number_map
-from feedmill.shared import small_side, unused
+from feedmill.shared import small_side, unused, written
 
 HOME_ZONE = "Europe/Moscow"
 FIRST_YEAR, LAST_YEAR = 2000, 2035
@@ -165,12 +165,15 @@ def estimated_zones(df: DataFrame, source: str = "source", value: str = "date_pu
     rows = rows.select("_source", "_read", F.regexp_extract("_value", r"\[([A-Za-z]+/[A-Za-z_/]+)\]", 1).alias("_named"), parts(F.col("_value"), _utc(F.col("_read")), F.lit("UTC")).alias("_p"))
     # days without a time say nothing of the hour
     own = F.when(F.col("_p.offset").isNull() & ~F.col("_p.moscow") & (F.date_format("_p.local", "HHmmss") != "000000"), F.col("_p.local"))
-    rows = rows.select("_source", "_read", "_named", own.alias("_local")).where("_local is not null or _named <> ''")
-    lag = lambda z: F.col("_read") - seconds_of(to_utc(F.col("_local"), F.lit(z)))
+    # what a value says is worked out once and written: every candidate refers to it
+    rows = written(rows.select("_source", "_read", "_named", own.alias("_local")).where("_local is not null or _named <> ''"), "clocks")
+    zones = F.array(*[(F.col("_read") - seconds_of(to_utc(F.col("_local"), F.lit(z)))).alias(f"z{k}") for k, z in enumerate(candidates)])
+    lags = rows.select("_source", "_named", "_local", zones.alias("_lags"))
     weighed = []
     for k, z in enumerate(candidates):
-        weighed += [F.count_if(lag(z) < 0).alias(f"bad{k}"), F.percentile_approx(F.when(lag(z) >= 0, lag(z)), 0.1, 1000).alias(f"tight{k}"), F.count_if(F.col("_named") == z).alias(f"named{k}")]
-    score = rows.groupBy("_source").agg(F.count("_local").alias("n"), *weighed).where("n > 0")
+        lag = F.col("_lags")[k]
+        weighed += [F.count_if(lag < 0).alias(f"bad{k}"), F.percentile_approx(F.when(lag >= 0, lag), 0.1, 1000).alias(f"tight{k}"), F.count_if(F.col("_named") == z).alias(f"named{k}")]
+    score = lags.groupBy("_source").agg(F.count("_local").alias("n"), *weighed).where("n > 0")
     scores = [F.struct(F.col(f"bad{k}").alias("bad"), F.coalesce(f"tight{k}", F.lit(1 << 60)).alias("tight"), (-F.col(f"named{k}")).alias("named"), F.lit(int(z != HOME_ZONE)).alias("home"), F.lit(k).alias("rank"), F.lit(z).alias("zone")) for k, z in enumerate(candidates)]
     return score.select(F.col("_source").alias(source), F.array_min(F.array(*scores))["zone"].alias("estimated_zone"))
 
