@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions.base import any_of
+from feedmill.shared import small_side, written
 from feedmill.sources.catalog import ATTEMPTS, BACKOFF
 
 #: What names of protection cookies begin with: fixed values.
@@ -82,8 +83,8 @@ def failing(log: DataFrame) -> DataFrame:
     rows = once(log).where(F.col("phase") == "request")
     good = (F.col("error").isNull()) & (F.col("status") < 400)
     moment = F.struct("attempted_at", "logged_at", "log_no")
-    since = rows.groupBy("host").agg(F.max(F.when(F.coalesce(good, F.lit(False)), moment)).alias("_last"))
-    after = rows.join(F.broadcast(since), "host").where(F.col("_last").isNull() | (moment > F.col("_last")))
+    since = written(rows.groupBy("host").agg(F.max(F.when(F.coalesce(good, F.lit(False)), moment)).alias("_last")), "last-success")
+    after = rows.join(small_side(since), "host").where(F.col("_last").isNull() | (moment > F.col("_last")))
     failed = after.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.max_by(F.coalesce("error", F.concat(F.lit("HTTP "), F.col("status").cast("string"))), moment).alias("last_error"), F.max("attempted_at").alias("last_ts"))
     return since.select("host").join(failed, "host", "left").select("host", F.coalesce("n", F.lit(0)).alias("consecutive_failures"), "last_error", "last_ts")
 

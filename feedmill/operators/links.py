@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from feedmill.functions.urls import is_listing, joined, same_domain
 
 
+def place(page: Column, pos: Column) -> Column:
+    """Where a link stands among those of all pages: page by page (numbers below 2^39), up to 2^24 links on each."""
+    return F.shiftleft(page.cast("long"), 24) + pos
+
+
 def resolved(links: DataFrame, sources: DataFrame) -> DataFrame:
     """Links (source, pos, href, text) with their source's rules and the address that ``href`` leads to.
 

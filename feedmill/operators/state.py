@@ -65,9 +65,10 @@ def cooldowns_after(attempts: DataFrame) -> DataFrame:
 
 
 def served(pages: DataFrame, cache: DataFrame) -> DataFrame:
-    """Pages (url, status, html) with the html to use and where it is from: fresh, or the cached copy (url, html) when the
-    page has not changed, the server failed or nothing was landed; null and "none" without a copy."""
-    copies = cache.groupBy("url").agg(F.max("html").alias("_copy"))
+    """Pages (url, status, html) with the html to use and where it is from: fresh, or the latest cached copy (url, html,
+    fetched_at) when the page has not changed, the server failed or nothing was landed; null and "none" without a copy. Of
+    copies of one moment the greatest counts, those without one come before all others."""
+    copies = cache.where(F.col("html").isNotNull()).groupBy("url").agg(F.max(F.struct("fetched_at", "html")).alias("_last")).select("url", F.col("_last.html").alias("_copy"))
     joined = pages.join(copies, "url", "left")
     good = F.coalesce((F.col("status") < 400) & (F.col("status") != 304), F.lit(False)) & F.col("html").isNotNull()
     origin = F.when(good, "fresh").when(F.col("_copy").isNotNull() & (F.col("status").isNull() | (F.col("status") == 304) | F.col("status").isin(*SERVER_ERRORS)), "cached").otherwise("none")

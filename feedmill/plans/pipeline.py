@@ -55,7 +55,7 @@ def run_once(pages: DataFrame, sources: DataFrame, existing: DataFrame, first_se
     chosen = catalog.selected(catalog.with_defaults(sources), names)
     good = pages.where((F.col("status") < 400) & F.col("html").isNotNull())
     landed = html.with_page(good, wanted=frozenset(("links",)))
-    found = landed.select("source", F.explode("page.links").alias("l"), "page_id").select("source", (F.col("page_id") * 100_000 + F.col("l.pos")).alias("pos"), "l.href", "l.text")
+    found = landed.select("source", F.explode("page.links").alias("l"), "page_id").select("source", links.place(F.col("page_id"), F.col("l.pos")).alias("pos"), "l.href", "l.text")
     on_page = links.article_links(found, chosen)
     fresh = cut(state.unseen(on_page, seen, force))
     articles = good.groupBy("source", "url").agg(F.max_by("html", "page_id").alias("html")).join(fresh.select("source", "url", "pos"), ["source", "url"])
@@ -68,7 +68,7 @@ def run_once(pages: DataFrame, sources: DataFrame, existing: DataFrame, first_se
     count = kept.count()
     if not count:
         return Outcome(feed.built(existing) if force else existing, sightings, seen, 0)
-    arrived = kept.join(fresh.select("url", F.col("pos").alias("ord")).dropDuplicates(["url"]), "url")
+    arrived = kept.join(fresh.groupBy("url").agg(F.min("pos").alias("ord")), "url")
     merged = merge.merge(existing, arrived, sightings)
     return Outcome(feed.built(merge.newest(merged, limit).drop("side")), sightings, window, count)
 

@@ -162,7 +162,7 @@ def fragment_text(spark, d):
 
 def landed_links(spark, d) -> DataFrame:
     pages = html.with_page(tables(spark, d, "pages")[0], wanted=frozenset(("links",)))
-    return pages.select("page_id", "source", "url", F.explode("page.links").alias("l")).select("page_id", "source", F.col("url").alias("page_url"), (F.col("page_id") * 100_000 + F.col("l.pos")).alias("pos"), "l.href", "l.text")
+    return pages.select("page_id", "source", "url", F.explode("page.links").alias("l")).select("page_id", "source", F.col("url").alias("page_url"), links.place(F.col("page_id"), F.col("l.pos")).alias("pos"), "l.href", "l.text")
 
 
 def page_links(spark, d):
@@ -224,7 +224,7 @@ def cooldown_routes(spark, d):
 
 def pages_served(spark, d):
     pages = tables(spark, d, "pages")[0]
-    cache = pages.where("status = 200 and html is not null").select("url", "html")
+    cache = pages.where("status = 200 and html is not null").select("url", "html", "fetched_at")
     return state.served(pages, cache).select("page_id", "origin", F.length("html").alias("size"))
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-import re
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +31,23 @@ def as_list(value: Any) -> list[str] | None:
     return [str(x) for x in (value if isinstance(value, list) else [value]) if x]
 
 
-def valid_patterns(patterns: list[str] | None) -> list[str] | None:
-    """Patterns that are sound; a bad one is ignored."""
-    out = []
-    for p in patterns or []:
+def with_sound_patterns(sources: DataFrame) -> DataFrame:
+    """The catalogue with patterns as the JVM runs them: named groups in its spelling, bad patterns left out.
+
+    The catalogue is a table of fixed size; its patterns are tested on the driver, with the engine that will match them.
+    """
+    lists = ("include_regex", "exclude_regex")
+    spelt = {c: F.transform(c, lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, r"\(\?P<", "(?<"), r"\(\?P=(\w+)\)", r"\\k<$1>"), r"\\Z", r"\\z")) for c in lists}
+    df = sources.withColumns(spelt)
+    patterns = [r[0] for r in df.select(F.explode(F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in lists]))).distinct().collect()]
+    java = df.sparkSession._jvm.java.util.regex.Pattern
+    bad = []
+    for p in patterns:
         try:
-            re.compile(p)
-            out.append(p)
-        except re.error:
-            continue
-    return out if patterns is not None else None
+            java.compile(p or "")
+        except (IllegalArgumentException, Py4JJavaError):
+            bad.append(p)
+    return df.withColumns({c: F.filter(c, lambda p: p.isNotNull() & ~p.isin(bad)) for c in lists})
 
 
 def proxies_of(value: Any) -> list[dict[str, str]] | None:
@@ -57,7 +65,7 @@ def warmup_of(value: Any) -> tuple | None:
     """(address, least and most delay, timeout): a pair of delays, one for both, or the usual ones."""
     if not isinstance(value, dict) or not value.get("url"):
         return None
-    delay = value.get("delay", value.get("delay_range"))
+    delay = value.get("delay") or value.get("delay_range")
     pair = (float(delay[0]), float(delay[1])) if isinstance(delay, list) and len(delay) >= 2 else (float(delay),) * 2 if isinstance(delay, (int, float)) else WARMUP_DELAY
     return (str(value["url"]), *pair, float(value["timeout"]) if value.get("timeout") else None)
 
@@ -82,12 +90,13 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     for n, s in enumerate(json.loads(text)):
         whole = lambda k: int(s[k]) if s.get(k) is not None else None  # noqa: B023, E731
         flag = lambda k: bool(s[k]) if s.get(k) is not None else None  # noqa: B023, E731
-        rows.append((n, s.get("name"), s.get("base_url"), s.get("start_url"), s.get("mode"), s.get("api_endpoint"), as_list(s.get("include_patterns")), valid_patterns(as_list(s.get("include_regex"))), valid_patterns(as_list(s.get("exclude_regex"))), whole("link_min_text_len"), flag("accept_empty_anchor"), flag("restrict_domain"), whole("max_links"), whole("min_words"), as_list(s.get("content_selectors")), flag("enabled"), strategy_of(s.get("request_strategy")), s.get("time_zone")))
-    return spark.createDataFrame(rows, SCHEMA)
+        rows.append((n, s.get("name"), s.get("base_url"), s.get("start_url"), s.get("mode"), s.get("api_endpoint"), as_list(s.get("include_patterns")), as_list(s.get("include_regex")), as_list(s.get("exclude_regex")), whole("link_min_text_len"), flag("accept_empty_anchor"), flag("restrict_domain"), whole("max_links"), whole("min_words"), as_list(s.get("content_selectors")), flag("enabled"), strategy_of(s.get("request_strategy")), s.get("time_zone")))
+    return with_sound_patterns(spark.createDataFrame(rows, SCHEMA))
 
 
 def with_defaults(sources: DataFrame) -> DataFrame:
-    """The catalogue with what holds where a source says nothing: base address, limits, flags, empty lists."""
+    """The catalogue with what holds where a source says nothing: base address, limits, flags, empty lists; bad patterns are
+    left out."""
     empty = F.array().cast("array<string>")
     filled = {
         "base_url": F.coalesce(truthy(F.col("base_url")), F.col("start_url"), F.col("api_endpoint")),
@@ -99,7 +108,7 @@ def with_defaults(sources: DataFrame) -> DataFrame:
         "min_words": F.coalesce("min_words", F.lit(MIN_WORDS)),
         "enabled": F.coalesce("enabled", F.lit(True)),
     }
-    return sources.withColumns(filled | {c: F.coalesce(c, empty) for c in ("include_patterns", "include_regex", "exclude_regex", "content_selectors")})
+    return with_sound_patterns(sources).withColumns(filled | {c: F.coalesce(c, empty) for c in ("include_patterns", "include_regex", "exclude_regex", "content_selectors")})
 
 
 def selected(sources: DataFrame, names: list[str] | None = None) -> DataFrame:

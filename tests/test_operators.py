@@ -95,11 +95,24 @@ def test_state(spark):
     assert [r.url for r in state.unseen(table("a", "b"), table("a")).collect()] == ["b"]
     assert state.unseen(table("a", "b"), table("a"), force=True).count() == 2
     pages = spark.createDataFrame([("a", 200, "new"), ("b", 304, None), ("c", 503, "err"), ("d", 404, "no"), ("e", 500, None)], "url string, status int, html string")
-    cache = spark.createDataFrame([("a", "old"), ("b", "old"), ("c", "old"), ("d", "old")], "url string, html string")
+    at = datetime(2024, 1, 1)
+    cache = spark.createDataFrame([("a", "old", at), ("b", "old", at), ("b", "zzz older", at.replace(year=2023)), ("b", "zzz of no time", None), ("c", "old", at), ("d", "old", at), ("d", None, at)], "url string, html string, fetched_at timestamp")
     assert {r.url: (r.origin, r.html) for r in state.served(pages, cache).collect()} == {"a": ("fresh", "new"), "b": ("cached", "old"), "c": ("cached", "old"), "d": ("none", None), "e": ("none", None)}
     assert [r.url for r in feed_io.upsert(cache, cache.where("url = 'a'").withColumn("html", F.lit("z")), ["url"]).where("html = 'z'").collect()] == ["a"]
 
 
+def test_patterns_are_those_the_jvm_runs(spark):
+    schema = "name string, include_regex array<string>, exclude_regex array<string>, base_url string, start_url string, api_endpoint string, mode string, link_min_text_len int, accept_empty_anchor boolean, restrict_domain boolean, max_links int, min_words int, enabled boolean, include_patterns array<string>, content_selectors array<string>"
+    df = spark.createDataFrame([("a", ["(?P<n>x)|y", "(bad", None], None, *[None] * 12)], schema)
+    (r,) = catalog.with_defaults(df).select("include_regex", "exclude_regex", F.rlike(F.lit("xx"), F.col("include_regex")[0]).alias("hit")).collect()
+    assert (r.include_regex, r.exclude_regex, r.hit) == (["(?<n>x)|y"], [], True)
+
+
+def test_an_empty_delay_hides_no_other():
+    assert catalog.warmup_of({"url": "w", "delay": None, "delay_range": [1, 2]})[1:3] == catalog.warmup_of({"url": "w", "delay_range": [1, 2]})[1:3] == (1.0, 2.0)
+    assert catalog.warmup_of({"url": "w", "delay": 0})[1:3] == catalog.WARMUP_DELAY
+
+
 def attempts(spark, *rows):
     schema = "log_no long, host string, url string, phase string, attempt int, status int, error string, cookie_names array<string>, dns_ms double, response_ms double, attempted_at timestamp, logged_at timestamp"
     at = lambda k: datetime(2024, 1, 1, 0, 0, k)

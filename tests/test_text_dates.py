@@ -36,7 +36,7 @@ def test_leading_title(one):
 
 def test_russian_dates(one):
     read = F.date_format(dates.russian_date(F.col("v")), "yyyy-MM-dd HH:mm")
-    cases = {"19.09.2024 12:34": "2024-09-19 12:34", "19 сентября 2024 12:34": "2024-09-19 12:34", "19 сентября 2024, 12:34": "2024-09-19 00:00", "19 сент 2024": "2024-09-19 00:00", "19.09.24": "2024-09-19 00:00", "31.02.2024": None, "19.09.1999": None, "19 СЕНТЯБРЯ 2024": "2024-09-19 00:00", "": None}
+    cases = {"19.09.2024 12:34": "2024-09-19 12:34", "19 сентября 2024 12:34": "2024-09-19 12:34", "19 сентября 2024, 12:34": "2024-09-19 00:00", "19 сент 2024": "2024-09-19 00:00", "19.09.24": "2024-09-19 00:00", "19.09.24 12:34": "2024-09-19 12:34", "19.09.245": "2024-09-19 00:00", "31.02.2024": None, "19.09.1999": None, "19 СЕНТЯБРЯ 2024": "2024-09-19 00:00", "": None}
     assert {v: one(read, v=v) for v in cases} == cases
 
 
