@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from feedmill.functions.html import Page, title_of
 from feedmill.llm.spelling import normalise
 
+#: Share of a line's characters that sentences with a phrase must make up for it to be no article text.
+NOISE_SHARE = 0.25
 #: Lines a window spans, and the characters of article text in it from which a body begins or ends.
 WINDOW, SURGE = 3, 40
 
@@ -39,11 +41,11 @@ meistgelesen|auch lesenswert|ebenfalls lesenswert|lesen sie auch|mehr zum thema|
 """
 #: Parts of lines that stand around an article, in small letters. "^" is the line's beginning, marks aside.
 NOISE = """
-cookie|куки |куки.|приватност|персональных данных|обработки данных|обработку данных|технические данные браузера|даёте согласие|вы соглашаетесь|datenschutz|einwilligung|приватнасц|персанальных да|вы згаджаецеся|апрацоўкай даных|апрацоўку даных|you agree to|you consent|stimmen sie der|erklären sie sich
+cookie|куки |куки.|приватност|персональных данных|обработки данных|обработку данных|данные браузера|даёте согласие|вы соглашаетесь|datenschutz|einwilligung|приватнасц|персанальных да|вы згаджаецеся|апрацоўкай даных|апрацоўку даных|you agree to|you consent|stimmen sie der|erklären sie sich
 все права|права защищены|перепечатк|при цитировании|при копировании|копирование без|активной ссылк|ссылка на источник|указание источника|публичной офертой|справочный характер|мнение автора|мнение авторов|с позицией редакции|all rights reserved|reuse only|for general information|views of the author|not be reproduced|reprint|alle rechte|nachdruck|keine gewähr|перадрук|усе правы|са спасылкай на крыніц
 понравилась статья|понравился материал|понравилась новость|расскажите коллегам|расскажите друзьям|поделиться материалом|поделиться новостью|поделиться с друзьями|поделитесь|^поделиться|оцените публикацию|оцените статью|оцените материал|отправить заметку|сохранить в закладки|в закладки|подпишитесь|подписывайтесь|рассылк|получайте сводку|следите за нами|мы в соцсетях|share this|share with|share on|tell a friend|tell a colleague|forward this|pass it on|send this|like this story|like this article|rate this|subscribe|newsletter|digest every|digest each|follow us|sign up|beitrag gefällt|leiten sie ihn|artikel teilen|beitrag teilen|abonnieren|bewerten sie|weitersagen|падзяліцеся|падпішыцеся|раскажыце калегам|ацаніце
 ^автор:|^авторы:|автор:|^текст:|текст подготовил|редактор выпуска|собственный корреспондент|^фото:|, отдел новостей|^источник:|^reported by|reported by|written by|edited by|staff writer|redaktion bauwesen|, redaktion|^autor:|^autorin:|^text:|^аўтар:|^тэкст:|уласны карэспандэнт|рэдактар выпуску|тэкст падрыхтава
-^комментарии|^комментариев|комментарии (|просмотров:|просмотры:|прочитали:|войти |^регистрация|следующая новость|предыдущая новость|^печать|версия для печати|поиск по сайту|показать ещё|загрузить ещё|^реклама|на правах рекламы|^рубрика:|^рубрики:|^теги:|; теги:|^тег:|^погода:|^курс валют|^курс цб|^курсы |наверх ↑|^наверх|к началу страницы|мобильная версия|слабовидящих|создание сайта|студия «|карта сайта|обратная связь|пользовательское соглашение|почта редакции|телефон редакции|^редакция:|сетевое издание|свидетельство о регистрации|^©|© 20|оставить комментарий|написать комментарий|тел. 8-
+^комментарии|^комментариев|комментарии (|просмотров:|просмотры:|прочитали:|войти |^регистрация|следующая новость|предыдущая новость|^печать|версия для печати|поиск по сайту|показать ещё|загрузить ещё|^реклама|на правах рекламы|^рубрика:|^рубрики:|^теги:|; теги:|^тег:|^погода:|^курс валют|^курс цб|^курсы |наверх ↑|^наверх|к началу страницы|мобильная версия|создание сайта|карта сайта|обратная связь|пользовательское соглашение|почта редакции|телефон редакции|^редакция:|сетевое издание|свидетельство о регистрации|^©|© 20|оставить комментарий|написать комментарий
 ^comments|comments (|^views:|views: |log in|next story|next article|previous story|previous article|^print|search the site|search this site|show more|load more|^advert|sponsored|^section:|^tags:|; tags:|^topics:|^weather:|back to top|mobile version|site map|sitemap|newsroom:|terms of use|privacy|web design by|site by
 ^kommentare|kommentare (|^aufrufe|aufrufe:|anmelden|nächster artikel|nächster beitrag|nächste meldung|^drucken|suche auf|mehr anzeigen|^anzeige|^rubrik:|^schlagworte:|; schlagworte:|^wetter:|nach oben|mobile ansicht|impressum|^redaktion:
 ^каментары|каментарыі (|праглядаў:|^прагляды|^увайсці|наступная навіна|^друк|пошук па сайце|паказаць яшчэ|^рэклама|^рубрыка:|^надвор|^уверх|мабільная версія|зваротная сувязь|^рэдакцыя:|пошта рэдакцыі
@@ -63,6 +65,7 @@ def _automaton() -> ahocorasick.Automaton:
 
 
 AUTOMATON = None
+_SENTENCE = re.compile(r"(?<=\w{3}[.!?…])\s+")  # after a word, not an abbreviation
 _MARKS = re.compile(r"^[\s>•*—–·#\"-]+")
 _LIST = re.compile(r"^\s*(?:[—–•*·▪◦‣-]\s|\(?\d{1,4}[).]\s|[а-яa-z]\)\s)|;\s*$|^[^|]+(?:\s\|\s[^|]*\d[^|]*)+$|\d[^/]*\s/\s[^/]*\d", re.IGNORECASE)
 _DECOR = re.compile(r"^\s*[>•*—–·#-]+\s+|\s*…\s*$")
@@ -79,20 +82,31 @@ def _plain(line: str) -> str:
     return " ".join(_DECOR.sub("", _DECOR.sub("", line)).lower().split()).rstrip(" .…:")
 
 
+def _says(text: str) -> bool:
+    return next(AUTOMATON.iter("\n" + _MARKS.sub("", text)), None) is not None
+
+
 def is_noise(line: str) -> bool:
-    """Whether a line says what stands around an article. ``line`` has single spaces between words."""
+    """Whether a line says what stands around an article: whether the sentences that do are a fair share of it. ``line``
+    has single spaces between words and may be of any length."""
     global AUTOMATON
     AUTOMATON = AUTOMATON or _automaton()
-    return next(AUTOMATON.iter("\n" + _MARKS.sub("", line.lower())), None) is not None
+    line = line.lower()
+    if not _says(line):
+        return False
+    sentences = _SENTENCE.split(line)
+    return len(sentences) == 1 or sum(len(x) for x in sentences if _says(x)) >= NOISE_SHARE * len(line)
 
 
 _KNOWN: dict[str, int] = {}
+#: Characters of a line up to which its kind is kept for the next one like it.
+KEPT = 260
 
 
 def kind(line: str) -> int:
     """What a line reads as: prose, a list item or figure, a heading of links, another short line, or noise."""
-    if len(line) > 260:
-        return PROSE
+    if len(line) > KEPT:
+        return _kind(" ".join(line.split()))
     if (found := _KNOWN.get(line)) is None:
         if len(_KNOWN) > 50_000:
             _KNOWN.clear()

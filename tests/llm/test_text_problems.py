@@ -189,6 +189,12 @@ def test_main_bodies(spark, rows, repairer):
     assert found(cleaning.surrounding_lines(many, repairer)) == [(i, 17) for i in range(6)]
 
 
+def test_long_lines_are_read_as_short_ones_are():
+    notice = "Мы используем файлы cookie, чтобы сайт работал лучше и быстрее для каждого читателя. "
+    assert mainbody.kind(notice * 9) == mainbody.kind(notice) == mainbody.NOISE
+    assert mainbody.kind(f"{LONG} " * 9 + notice) == mainbody.kind(LONG) == mainbody.PROSE
+
+
 def test_pages(spark):
     html = f"<html><head><title>T</title><script>var a='</p>'</script></head><body><nav><a href='/'>Главная</a></nav><div class='x'><h1>T</h1><p>{LONG}<b><br><p>Справка</p><p>{LONG}</div><footer>© Газета, 2020</footer></body></html>"
     assert mainbody.page_body(html) == mainbody.page_body(html, [".x"]) == f"{LONG}\nСправка\n{LONG}"
