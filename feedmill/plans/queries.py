@@ -322,6 +322,29 @@ def cookie_names(spark, d):
     return rows.distinct()
 
 
+def _first_run(spark, d):
+    """A run over all landed pages with nothing before it."""
+    from feedmill.plans import pipeline
+
+    pages, sources = tables(spark, d, "pages", "sources")
+    nothing = unified(spark, d).select("ord", "id", "url", "title", "date_published", "content_text", "tags", "source").limit(0)
+    seen = spark.createDataFrame([], "source string, pos long, url string")
+    return pages, sources, pipeline.run_once(pages, sources, nothing, first_seen(spark, d), seen, _now())
+
+
+def run_once(spark, d):
+    return _first_run(spark, d)[2].feed.select("url", "title", "date_published", "source")
+
+
+def run_twice(spark, d):
+    """New items of a second run with what the first one left: none."""
+    from feedmill.plans import pipeline
+
+    pages, sources, first = _first_run(spark, d)
+    second = pipeline.run_once(pages, sources, first.feed, first.first_seen, first.seen, _now(), digests=first.digests, cooldowns=first.cooldowns, cache=pages.select("url", "html", "fetched_at"))
+    return spark.range(1).select(F.lit(second.new_items).cast("long").alias("new_items"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The feed of all items: dated, merged, in order."""
     from feedmill.plans import pipeline
@@ -347,6 +370,6 @@ _NAMES = """
 p5_found p5_zones p5_unzoned url_parts url_segments query_pairs url_listing_rule url_listing_filter cache_key amp_url url_joined normalize_ws word_count min_words_filter drop_leading_title needs_fallback dates_read ru_date_dotted
 ru_date_words url_date home_time page_title page_content fragment_text page_links link_reasons article_links new_links seen_window missing_sources request_strategies first_seen_fill first_seen_after index_changed
 cooldown_routes pages_served feed_dedup feed_built feed_skip_keywords feed_merged feed_top feed_metrics regression_gate source_summary api_entries api_links json_feed_roundtrip attempts_once retry_outcomes
-last_metric_per_host consecutive_failures failure_islands warmup_outcomes backoff_waits cookie_names stream_new_addresses stream_first_seen stream_feed flagship
+last_metric_per_host consecutive_failures failure_islands warmup_outcomes backoff_waits cookie_names stream_new_addresses stream_first_seen stream_feed run_once run_twice flagship
 """
 QUERIES = {name: globals()[name] for name in _NAMES.split()}

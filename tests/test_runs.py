@@ -54,6 +54,19 @@ def test_a_second_run_finds_nothing_new(spark):
     assert second.new_items == 0 and second.feed.count() == 4
     again = pipeline.run_once(pages, sources, first.feed, first.first_seen, first.seen, now, force=True)
     assert again.new_items == 4 and again.feed.count() == 4
+    # an index page as it was gives nothing; one that failed is read from the cache, and its source rests then
+    sources = sources.withColumn("start_url", F.lit("https://s.example/"))
+    empty = spark.createDataFrame([], "id string, first_seen string"), spark.createDataFrame([], "source string, pos long, url string")
+    run = lambda p, **more: pipeline.run_once(p, sources, none, *empty, now, **more)
+    one = run(pages, per_source=2)
+    assert one.new_items == 2 and one.digests.count() == 1 and one.cooldowns.count() == 0
+    assert run(pages, digests=one.digests).new_items == 0 and run(pages, digests=one.digests, force=True).new_items == 4
+    down = pages.withColumn("status", F.when(F.col("page_id") == 0, 503).otherwise(F.col("status"))).withColumn("html", F.when(F.col("page_id") != 0, F.col("html")))
+    cache = pages.where("page_id = 0").select("url", "html", F.lit("2024-01-01").cast("timestamp").alias("fetched_at"))
+    rests = run(down)
+    assert rests.new_items == 0 and [str(r.until) for r in rests.cooldowns.collect()] == ["2024-06-01 18:00:00"]
+    assert run(down, cache=cache).new_items == 4
+    assert run(pages, cooldowns=rests.cooldowns).new_items == 0 and run(pages, cooldowns=rests.cooldowns, cache=cache).new_items == 4
 
 
 def test_streams_give_what_batches_give(spark, tmp_path):
