@@ -13,12 +13,17 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that setting is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only in local mode where that setting is unset, as in tests.
+
+    On a cluster executors would write to disks of their own: there the setting must name a folder they share.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
         if checkpoint.isDefined():
             folder = checkpoint.get()
+        elif not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         else:
             folder = "file://" + tempfile.mkdtemp(prefix="feedmill-")
             spark.sparkContext.setCheckpointDir(folder)
