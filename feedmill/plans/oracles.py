@@ -206,12 +206,12 @@ WITH old AS (SELECT source, item_no, url FROM unified WHERE batch_no <= {_HALF})
 b AS (SELECT source, url, item_no, 0 AS side FROM new UNION ALL SELECT source, url, item_no, 1 FROM old WHERE (source, url) IN (SELECT source, url FROM new))
 SELECT source, n - 1 AS pos, url FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY side, item_no, url) AS n FROM b) WHERE n <= 500""",
     "api_entries": """
-WITH e AS (SELECT *, row_number() OVER (PARTITION BY source, batch_no ORDER BY item_no) - 1 AS pos FROM unified)
-SELECT source, batch_no, pos, nullif(url, '') AS url, trim(nullif(title, '')) AS title, nullif(date_published, '') AS iso_date, nullif(length(s), 0) AS size FROM (SELECT *, """
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY source, batch_no, item_no // 500 ORDER BY item_no) - 1 AS pos FROM unified)
+SELECT source, batch_no, item_no // 500 AS block, pos, nullif(url, '') AS url, trim(nullif(title, '')) AS title, nullif(date_published, '') AS iso_date, nullif(length(s), 0) AS size FROM (SELECT *, """
     + strip("content_text")
     + " AS s FROM e)",
     "api_links": f"""
-WITH {listed('item_no, source, batch_no', 'unified')}, e AS (SELECT *, row_number() OVER (PARTITION BY source, batch_no ORDER BY item_no) - 1 AS pos FROM flagged),
+WITH {listed('item_no, source, batch_no', 'unified')}, e AS (SELECT *, row_number() OVER (PARTITION BY source, batch_no, item_no // 500 ORDER BY item_no) - 1 AS pos FROM flagged),
 f AS (SELECT source, url, min(pos) AS pos FROM e WHERE url <> '' AND NOT listing GROUP BY source, url),
 n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos, url) AS n FROM f)
 SELECT source, url FROM n JOIN sources ON name = source WHERE n <= coalesce(max_links, 100)""",

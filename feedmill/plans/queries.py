@@ -13,6 +13,8 @@ from feedmill.streaming import incremental
 
 #: The clock of all queries.
 NOW = "2025-07-01 12:00:00"
+#: Item numbers that one payload spans.
+PAYLOAD_ITEMS = 500
 
 
 def _now() -> Column:
@@ -265,16 +267,17 @@ def source_summary(spark, d):
 
 
 def payloads(spark, d) -> DataFrame:
-    """The items of each batch and source as a JSON payload of that source."""
+    """The items of each batch and source as JSON payloads of that source: pages of up to ``PAYLOAD_ITEMS`` items, so none
+    grows with what a source has."""
     entry = F.struct(F.col("url").alias("link"), F.col("title").alias("name"), F.struct(F.col("content_text").alias("content")).alias("attributes"), F.col("date_published").alias("publishedAt"))
-    rows = unified(spark, d).groupBy("source", "batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("item_no", entry.alias("e")))), lambda x: x["e"]).alias("data"))
-    return rows.select("source", "batch_no", F.to_json(F.struct("data")).alias("body"))
+    rows = unified(spark, d).withColumn("block", F.expr(f"item_no div {PAYLOAD_ITEMS}")).groupBy("source", "batch_no", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("item_no", entry.alias("e")))), lambda x: x["e"]).alias("data"))
+    return rows.select("source", "batch_no", "block", F.to_json(F.struct("data")).alias("body"))
 
 
 def api_entries(spark, d):
-    rows = payloads(spark, d).select("source", "batch_no", F.posexplode(api.entries(F.col("body"))).alias("pos", "entry"))
+    rows = payloads(spark, d).select("source", "batch_no", "block", F.posexplode(api.entries(F.col("body"))).alias("pos", "entry"))
     e = F.col("entry")
-    return rows.select("source", "batch_no", "pos", api.link(e, F.lit("https://base.example/")).alias("url"), api.title(e).alias("title"), api.iso_date(e).alias("iso_date"), F.length(api.raw_text(e)).alias("size"))
+    return rows.select("source", "batch_no", "block", "pos", api.link(e, F.lit("https://base.example/")).alias("url"), api.title(e).alias("title"), api.iso_date(e).alias("iso_date"), F.length(api.raw_text(e)).alias("size"))
 
 
 def api_links(spark, d):
