@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import repeats
@@ -43,6 +43,8 @@ BANDS, ROWS = 32, 5
 BUCKET_ROWS, MOST_BITS = {"keys": 100_000, "bands": 500_000, "signatures": 5_000, "parents": 500_000}, 12
 #: Rows of two numbers up to which a side of a join is broadcast: 8 MB.
 FEW = 500_000
+#: Links up to which one task joins them: 16 MB.
+ONE_TASK = 1_000_000
 #: Query parameters that do not choose the page: fixed values.
 TRACKING = r"^(?:utm_\w*|yclid|gclid|fbclid|ysclid|msclkid|dclid|mc_cid|mc_eid|_openstat|openstat|from|ref|referrer|igshid|_ga|cmpid|share)(?:=|$)"
 
@@ -137,7 +139,7 @@ def prepared(df: DataFrame, repairer: Repairer, batches: list[Column], item: str
             texts = [_WORD.findall("\n".join(x for n, (x, mine) in enumerate(zip(row[0], row[1]), 1) if mine and n not in row[2]).lower()) if row else [] for row in rows]
             yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("page"), *keyed(texts)], names=["item", "page", "text_key", "signature", "bands"])
 
-    frequent = repeats.repeated_ids(df, source, item, text)
+    frequent = small_side(repeats.repeated_ids(df, source, item, text), repeats.FEW_SOURCES)
     out = []
     for chosen in batches:
         rows = df.where(chosen).select(F.col(item).alias("item"), F.col(source).alias("source"), F.col(text).alias("text"), page_key(F.col(url)).alias("page"))
@@ -177,12 +179,36 @@ def compared(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_s", "b_s").mapInArrow(measure, "a long, b long, similarity double")
 
 
-def classes(edges: DataFrame) -> DataFrame:
+def least_nodes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges (a, b) and the least node of each one's connected component."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = np.arange(len(nodes))
+    a, b = np.split(ends.reshape(-1), 2)
+    while len(at := np.flatnonzero(label[a] != label[b])):
+        a, b = a[at], b[at]
+        x, y = label[a], label[b]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while np.any((up := label[label]) != label):
+            label = up
+    return nodes, nodes[label]
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, label) of all edges of a task."""
+    parts = [[batch.column(c).to_numpy() for batch in found] for found in [list(batches)] for c in ("a", "b")]
+    if parts[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in least_nodes(*map(np.concatenate, parts))], names=["node", "label"])
+
+
+def classes(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, label): the least node of the connected component of each node of ``edges`` (a, b).
 
-    Alternates large-star and small-star steps until the edges are stars; each step's edges are checkpointed. Nodes
-    without edges are absent.
+    If they are known to be ``most`` and these are no more than ``ONE_TASK``, one task joins them. Else large-star and
+    small-star steps alternate until the edges are stars; each step's edges are checkpointed. Nodes without edges are absent.
     """
+    if most is not None and most <= ONE_TASK:
+        return edges.where("a <> b").select("a", "b").repartition(1).mapInArrow(_joined, "node long, label long")
+
     def told(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -244,23 +270,29 @@ class History:
         if not held:
             return None
         most = max(t["bits"] for _, t in held)
-        wanted = {r[0] for r in keys.select(bucket(_HASHED[table](_KEY[table]), most)).distinct().collect()}
+        wanted = {0} if not most else {r[0] for r in keys.select(bucket(_HASHED[table](_KEY[table]), most)).distinct().collect()}
         paths = []
         for folder, t in held:
             near = {w >> (most - t["bits"]) for w in wanted}
             paths += [f"{self.path}/{folder}/{table}/bucket={b}" for b in t["buckets"] if b in near]
         return self.spark.read.schema(_TABLES[table]).parquet(*paths) if paths else None
 
-    def roots(self, nodes: DataFrame) -> DataFrame:
-        """(node, root): the first row of the article of each node, as it is known now."""
-        now = nodes.select("node", F.col("node").alias("root"))
-        while (held := self.probed("parents", now.select(F.col("root").alias("node")))) is not None:
+    def roots(self, nodes: DataFrame) -> tuple[DataFrame, int] | None:
+        """(node, root), the first row of the article of each node as it is known now, and their number; null if no row
+        repeats another so far.
+
+        A first row can only have got a parent in a later segment, so there are no more steps up than segments with parents.
+        """
+        now, n = nodes.select("node", F.col("node").alias("root")), None
+        for _ in range(sum(bool(s["parents"]["buckets"]) for s in self.segments)):
+            if (held := self.probed("parents", now.select(F.col("root").alias("node")))) is None:
+                break
             up = held.select(F.col("node").alias("root"), "parent")
-            after = self._written(now.join(up, "root", "left").select("node", F.coalesce("parent", "root").alias("root"), F.col("parent").isNotNull().alias("moved")), "roots")
+            after, n = self._counted(now.join(up, "root", "left").select("node", F.coalesce("parent", "root").alias("root"), F.col("parent").isNotNull().alias("moved")), "roots", moved=F.col("moved"))
             now = after.select("node", "root")
-            if not after.where("moved").limit(1).count():
+            if not n["moved"]:
                 break
-        return now
+        return (now, n["rows"]) if n else None
 
     def add(self, arriving: DataFrame, batch: str | None = None) -> None:
         """Checks a prepared batch against itself and everything before it, and appends its keys and the links found.
@@ -279,39 +311,42 @@ class History:
     def _segment(self, arriving: DataFrame, name: str, batch: str | None, folder: str) -> dict:
         """Writes a batch's segment; tables that only this takes lie in a folder beside it."""
         self._work = f"{folder}-work"
-        rows = self._written(arriving, "arriving")
+        rows, _ = self._counted(arriving, "arriving")
         segment: dict = {"folder": name, "batch": batch}
         # keys: links to the earliest row that has one; those nobody had before are new
         kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("page", "text_key")])).alias("x")
         seen = rows.select("item", kinds).select("item", "x.*").where("key is not null")
-        firsts = self._written(seen.groupBy("kind", "key").agg(F.min("item").alias("first")), "firsts")
+        firsts = seen.groupBy("kind", "key").agg(F.min("item").alias("first"))
+        if any(s["keys"]["bits"] for s in self.segments):
+            firsts, _ = self._counted(firsts, "firsts")
         old = self.probed("keys", firsts)
-        known = firsts.withColumn("old", F.lit(None).cast("long")) if old is None else self._written(firsts.join(old.select("kind", "key", F.col("first").alias("old")), ["kind", "key"], "left"), "known")
+        found = firsts.withColumn("old", F.lit(None).cast("long")) if old is None else firsts.join(old.select("kind", "key", F.col("first").alias("old")), ["kind", "key"], "left")
+        known, fresh = self._counted(found, "known", keys=F.col("old").isNull(), texts=F.col("old").isNull() & (F.col("kind") == "text_key"))
         links = seen.join(known, ["kind", "key"]).select(F.coalesce("old", "first").alias("a"), F.col("item").alias("b"))
-        fresh = known.where("old is null")
-        counts = {r[0]: r[1] for r in fresh.groupBy("kind").count().collect()}
-        segment["keys"] = self._put(fresh.select("kind", "key", "first"), "keys", folder, sum(counts.values()))
+        segment["keys"] = self._put(known.where("old is null").select("kind", "key", "first"), "keys", folder, fresh["keys"])
         # texts that no row had before, each with the row that stands for it
-        texts = rows.join(small_side(self._written(fresh.where("kind = 'text_key'").select(F.col("first").alias("item")), "fresh"), FEW), "item", "left_semi")
-        n = counts.get("text_key", 0)
+        n = fresh["texts"]
+        texts = rows.join(small_side(known.where("old is null and kind = 'text_key'").select(F.col("first").alias("item")), FEW, n), "item", "left_semi")
         segment["bands"] = self._put(texts.select(F.explode("bands").alias("key"), F.col("item").alias("rep")), "bands", folder, n * BANDS)
         segment["signatures"] = self._put(texts.select(F.col("item").alias("rep"), "signature"), "signatures", folder, n)
         alike = self._alike(segment) if n else None
         # links between rows lead to links between first rows as they are now; these are joined anew
-        links = self._written((links if alike is None else links.unionByName(alike)).where("a <> b").distinct(), "links")
-        nodes = self.roots(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        ends = (nodes.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
-        for end in ends:
-            links = links.join(end, end.columns[0])
-        found = classes(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
-        parents = cut(found.where("node <> label").select("node", F.col("label").alias("parent")))
-        segment["parents"] = self._put(parents, "parents", folder, parents.count())
+        links, told = self._counted((links if alike is None else links.unionByName(alike)).where("a <> b").distinct(), "links")
+        if roots := self.roots(links.select(F.explode(F.array("a", "b")).alias("node")).distinct()):
+            for c in ("a", "b"):
+                end = roots[0].select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+                links = links.join(small_side(end, FEW, roots[1]), c)
+            links = links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+        parents = classes(links, told["rows"]).where("node <> label").select("node", F.col("label").alias("parent"))
+        segment["parents"] = self._put(parents, "parents", folder, told["rows"])
         return segment
 
-    def _written(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self._work}/{name}-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _counted(self, df: DataFrame, name: str, **held: Column) -> tuple[DataFrame, dict[str, int]]:
+        """``df`` written beside the segment and read again, and how many rows it has (``rows``) and how many of them hold
+        each condition, counted as they are written."""
+        path, seen = f"{self._work}/{name}-{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in held.items()]).write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get
 
     def _alike(self, segment: dict) -> DataFrame:
         """Pairs (a, b) of like articles of which at least one is in the new segment."""
@@ -323,24 +358,27 @@ class History:
         if old is not None:
             everything = everything.unionByName(old.join(new.select("key").distinct(), "key", "left_semi").withColumn("new", F.lit(False)))
         # one member a bucket that all others are verified against
-        firsts = self._written(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.max("new").alias("new")).where("a <> z and new").select("key", "a"), "pivots")
-        members = self._written(everything.join(small_side(firsts, FEW), "key").select("key", "a", F.col("rep").alias("b")), "members")
-        ids = self._written(members.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
+        firsts, n = self._counted(everything.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.max("new").alias("new")).where("a <> z and new").select("key", "a"), "pivots")
+        members, _ = self._counted(everything.join(small_side(firsts, FEW, n["rows"]), "key").select("key", "a", F.col("rep").alias("b")), "members")
+        ids, n = self._counted(members.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "candidates")
         held = self.probed("signatures", ids)
         signatures = mine._all("signatures") if held is None else mine._all("signatures").unionByName(held)
-        signatures = signatures.join(small_side(ids, FEW), "rep", "left_semi")
-        stars = self._written(compared(members.where("a <> b").select("a", "b").distinct(), signatures), "stars")
+        signatures = signatures.join(small_side(ids, FEW, n["rows"]), "rep", "left_semi")
         like = F.col("similarity") >= SIMILARITY - 1e-9
-        labels = cut(classes(stars.where(like).select("a", "b")))
+        stars, n = self._counted(compared(members.where("a <> b").select("a", "b").distinct(), signatures), "stars", like=like)
+        labels, n = self._counted(classes(stars.where(like).select("a", "b"), n["like"]), "labels")
         # members whose class differs from another member's of the bucket are compared if their distances to its first allow it
-        of = members.join(small_side(labels.withColumnRenamed("node", "b"), FEW), "b", "left").join(stars, ["a", "b"], "left")
+        of = members.join(small_side(labels.withColumnRenamed("node", "b"), FEW, n["rows"]), "b", "left").join(stars, ["a", "b"], "left")
         of = of.select("key", "b", F.coalesce("label", "b").alias("label"), (1 - F.coalesce("similarity", F.lit(1.0))).alias("far"))
         apart = of.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y and n > 2").select("key")
-        mixed = self._written(of.join(apart, "key"), "mixed")
+        mixed, n = self._counted(of.join(apart, "key"), "mixed")
+        found = stars.where(like).select("a", "b")
+        if not n["rows"]:
+            return found
         near = F.abs(F.col("l.far") - F.col("r.far")) <= 1 - SIMILARITY + 1e-9
         across = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.b") < F.col("r.b")) & (F.col("l.label") != F.col("r.label")) & near)
         across = across.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-        return stars.where(like).select("a", "b").unionByName(compared(self._written(across, "across"), signatures).where(like).select("a", "b"))
+        return found.unionByName(compared(self._counted(across, "across")[0], signatures).where(like).select("a", "b"))
 
     def _all(self, table: str) -> DataFrame:
         """A table of all segments."""

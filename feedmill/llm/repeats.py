@@ -23,6 +23,8 @@ from feedmill.shared import small_side, unused, written
 
 #: A block is repeated excessively if it occurs in this share of its source's rows and in this many of them.
 MIN_SHARE, MIN_ROWS = 0.1, 6
+#: Sources up to which their repeated lines are broadcast.
+FEW_SOURCES = 20_000
 
 _IDS = "src long, item long, lines array<int>, ids array<long>"
 _RUN = "src long, depth int, block long, rows long, i0 long"
@@ -173,11 +175,11 @@ def repeated_ids(df: DataFrame, source: str = "source", item: str = "item_no", t
 
 def with_repeated_ids(df: DataFrame, out: str, source: str = "source", item: str = "item_no", text: str = "content_text", frequent: DataFrame | None = None) -> DataFrame:
     """``df`` with ``out``: the identifiers of the lines that belong to repeated blocks of its source, as an array; of the
-    sources of ``df``, unless ``frequent`` has what ``repeated_ids`` found in a larger table."""
-    frequent = repeated_ids(df, source, item, text) if frequent is None else frequent
+    sources of ``df``, unless ``frequent`` has what ``repeated_ids`` found in a larger table, with a hint if it is small."""
+    frequent = small_side(repeated_ids(df, source, item, text), FEW_SOURCES) if frequent is None else frequent
     src = unused(df, "_src")
     named = frequent.select(F.col("src").alias(src), F.col("ids").alias(out))
-    return df.withColumn(src, source_id(F.col(source))).join(small_side(named, 20_000), src, "left").drop(src)
+    return df.withColumn(src, source_id(F.col(source))).join(named, src, "left").drop(src)
 
 
 def repeated_numbers(texts: pa.Array, ids: list[list[int] | None]) -> list[frozenset[int]]:

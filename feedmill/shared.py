@@ -46,12 +46,12 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it is proven to hold no more than ``limit`` rows; else unchanged.
 
-    ``df`` must be cheap to count: a written table or a checkpoint.
+    ``rows`` is their number where it is known. Else ``df`` must be cheap to count: a written table or a checkpoint.
     """
-    few = df.limit(limit + 1).count() <= limit
+    few = (df.limit(limit + 1).count() if rows is None else rows) <= limit
     return F.broadcast(df) if few else df
 
 

@@ -167,3 +167,33 @@ def test_bands_meet_at_the_limit():
         x, y = history.band_keys(flat, starts)
         missed += not np.any(x == y)
     assert missed == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_task_joins_what_steps_join(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(110)] + [(1000 + k, 1001 + k) for k in range(30)] * 2
+    links = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    found = [sorted(map(tuple, history.classes(links, n).collect())) for n in (len(edges), None)]
+    assert found[0] == found[1] and {x for x, _ in found[0]} == {x for a, b in edges for x in (a, b) if a != b}
+    assert history.classes(links.limit(0), 0).count() == 0
+
+
+def test_links_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr(history, "ONE_TASK", 3)
+    monkeypatch.setattr(history, "FEW", 3)
+    rows = some_rows()
+    found, ready = history.History(spark), prepared(spark, rows)
+    for k in range(2):
+        found.add(part(ready, k, 2))
+    assert sorted(tuple(r) for r in found.repeats().collect()) == model(rows)
+
+
+def test_a_batch_takes_few_queries(spark):
+    """Each is a plan, with stages, threads and compiled code, that the driver has to hold."""
+    number = getattr(getattr(spark._jvm.org.apache.spark.sql.execution, "SQLExecution$"), "MODULE$").nextExecutionId
+    found, ready = history.History(spark), prepared(spark, some_rows())
+    for k in range(3):
+        before = number()
+        found.add(part(ready, k, 3))
+        assert number() - before <= 20
