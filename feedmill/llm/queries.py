@@ -32,8 +32,10 @@ def p1_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both texts in one spelling, and the keys by which texts that look alike compare as equal."""
     (unified,) = tables(spark, sf_dir, "unified")
-    return spelling.normalised(unified.select("item_no", "title", "content_text"), ["title", "content_text"])
+    texts = ["title", "content_text"]
+    return spelling.with_keys(spelling.normalised(unified.select("item_no", *texts), texts), texts)
 
 
 #: Ranges of batch numbers that p3_found takes one after another.

@@ -2,8 +2,11 @@
 
 ``normalise`` brings a text to one form: compatibility composition of full-width and combining forms, plain
 spaces, no default-ignorable characters, and look-alike letters of another script mapped into the script that
-the word is written in. ``fold`` adds full case folding, for comparisons. Signs that look different from their
-plain spelling (№, ², ½) stay: compatibility forms are applied to full-width forms only.
+the word is written in. ``fold`` adds full case folding. Signs that look different from their plain spelling
+(№, ², ½) stay: there, compatibility forms are applied to full-width forms only.
+
+``key`` is what texts are compared by: it takes all compatibility forms, full case folding, and writes words wholly of
+look-alikes in Latin letters.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.shared import unused
+
 #: Default-ignorable code points (fixed values of the Unicode property, the ones outside private use).
 IGNORABLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8"
 #: Spaces other than the plain one.
@@ -79,6 +84,12 @@ _MIXED = re.compile(f"[{_CYR}][{_LAT}{_GRK}]|[{_LAT}][{_CYR}{_GRK}]|[{_GRK}][{_C
 _RUN = re.compile(f"[{_CYR}{_LAT}{_GRK}\u00b5]+")
 _OF = [re.compile(f"[{x}]") for x in (_CYR, _LAT, _GRK)]
 
+#: Latin look-alikes of letters in one case. Cyrillic letters have them if they look alike in either case, for case folding
+#: makes all cases equal; Greek ones if their small letters do. No two letters of a script have the same.
+_LATIN = {ord(r[k].casefold()): r[1].casefold() for k in (0, 2) for r in _rows if "-" not in (r[k], r[1]) and (k == 0 or r[k].islower())}
+_OURS = ["".join(chr(c) for c in _LATIN if p.match(chr(c))) for p in (_OF[0], _OF[2])]
+_ALIKE = re.compile(f"(?:(?<![{_CYR}{_LAT}{_GRK}]){'(?:' + '|'.join(f'[{x}]+' for x in _OURS) + ')'})(?![{_CYR}{_LAT}{_GRK}])")
+
 #: Any of these forms, for whole batches at once.
 SIGNS = f"[{IGNORABLE}{SPACES}{WIDE}\u0300-\u036f]|{_MIXED.pattern}"
 
@@ -120,6 +131,23 @@ def fold(text: str | None) -> str | None:
     return None if text is None else normalise(text).casefold()
 
 
+def key(text: str | None) -> str | None:
+    """What ``text`` is compared by: equal for texts that look alike or differ in compatibility forms or case only.
+
+    Compatibility composition and full case folding after ``normalise``, and words of which every letter has a Latin look-alike in
+    Latin letters, until nothing changes. Null stays null.
+    """
+    if text is None:
+        return None
+    before, text = None, normalise(text)
+    for _ in range(8):  # a letter that is written otherwise may compose with its mark then, or meet letters of another script
+        if text == before:
+            break
+        before, text = text, normalise(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold()))
+        text = _ALIKE.sub(lambda m: m[0].translate(_LATIN), text)
+    return text
+
+
 def respelt(text: str | None) -> bool:
     """Whether ``text`` holds a form that problem 6 names: one that ``normalise`` changes, or a word of two scripts that it
     can't write in one."""
@@ -146,3 +174,13 @@ def normalised(df: DataFrame, columns: list[str], folded: bool = False) -> DataF
         return per_distinct(str.casefold, found, pa.string()) if folded else found
 
     return df.withColumns({c: convert(F.col(f"`{c}`")) for c in columns})
+
+
+def with_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with what each of the given text columns is compared by, in a column named as it and ``_key``."""
+
+    @F.arrow_udf("string")
+    def convert(values: pa.Array) -> pa.Array:
+        return per_distinct(key, values, pa.string())
+
+    return df.withColumns({unused(df, f"{c}_key"): convert(F.col(f"`{c}`")) for c in columns})
